@@ -53,23 +53,43 @@ def python_split(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFram
 
 
 def fold_in_order(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, fold: Callable[[str, str], str], block: Column | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    fold: Callable[[str, str], str],
+    block: Column | None = None,
 ) -> DataFrame:
     """A user aggregate ``init / add / result`` whose order matters: text is added up along ``order``.
 
-    The values of a key are cut into ordered pieces, each piece is folded in Python, and the folded pieces
-    are folded again. ``fold`` must be associative with "" as its neutral value, as concatenation is.
+    The values of a key are cut into pieces along the order, each piece is folded in Python, and the folded
+    pieces are folded again. ``fold`` must be associative with "" as its neutral value, as concatenation is.
+    Spark sorts the rows, and Python sees a run of equal keys as a stream, not as one group in memory.
     """
-    pieces = integral_block(order) if block is None else block
-
-    def folded(values: pd.Series, positions: pd.Series) -> str:
-        total = ""
-        for piece in values.iloc[positions.argsort(kind="stable")]:
-            total = fold(total, piece)
-        return total
-
-    combine = pandas_udf(folded, "string")
-    partial = df.withColumn("__piece", pieces).groupBy(*keys, "__piece").agg(
-        combine(F.col(value), F.col(order)).alias("__part")
-    )
-    return partial.groupBy(*keys).agg(combine(F.col("__part"), F.col("__piece")).alias("folded"))
+    pieces = integral_block(order[0]) if block is None else block
+
+    def runs(names: list[str]):
+        def fold_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held, total = None, ""
+            for batch in batches:
+                done = []
+                for *key, text in batch[[*names, "__value"]].itertuples(index=False, name=None):
+                    if key != held:
+                        if held is not None:
+                            done.append((*held, total))
+                        held, total = key, ""
+                    total = fold(total, text)
+                yield pd.DataFrame(done, columns=[*names, "__value"])
+            if held is not None:
+                yield pd.DataFrame([(*held, total)], columns=[*names, "__value"])
+
+        return fold_runs
+
+    def folded(rows: DataFrame, names: list[str], by: Sequence[str]) -> DataFrame:
+        schema = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in [*names, "__value"])
+        placed = rows.repartition(*names).sortWithinPartitions(*names, *by)
+        return placed.select(*names, "__value").mapInPandas(runs(names), schema)
+
+    rows = df.select(*keys, pieces.alias("__piece"), *order, F.col(value).alias("__value"))
+    parts = folded(rows, [*keys, "__piece"], order)
+    return folded(parts, list(keys), ["__piece"]).withColumnRenamed("__value", "folded")

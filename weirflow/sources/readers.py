@@ -114,6 +114,18 @@ def wire_relations(lines: DataFrame) -> DataFrame:
     )
 
 
+def decode_topic_payload(messages: DataFrame, topic: str = "topic", payload: str = "payload") -> DataFrame:
+    """``users/{user}/{location}/{device}`` with payload ``{temperature}/{humidity}`` to columns."""
+    place, reading = F.split(topic, "/"), F.split(F.col(payload).cast("string"), "/")
+    return messages.select(
+        F.get(place, F.lit(1)).alias("user"),
+        F.get(place, F.lit(3)).alias("device"),
+        F.get(place, F.lit(2)).alias("location"),
+        F.get(reading, F.lit(0)).cast("double").alias("temperature"),
+        F.get(reading, F.lit(1)).cast("double").alias("humidity"),
+    )
+
+
 def permissive_json(lines: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     """Parsed rows and the lines that did not parse. No line raises an error and none gets lost."""
     parsed = lines.withColumn(
