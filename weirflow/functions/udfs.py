@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
 
 from weirflow.operators.ordered import integral_block
+from weirflow.operators.sets import spread_small
 
 
 def register_scalar(spark: SparkSession, name: str, returns: str, function: Callable[..., pd.Series]) -> None:
@@ -47,7 +48,7 @@ def python_split(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFram
             out = batch[list(keep)].assign(word=batch[text].fillna("").str.split(" ")).explode("word")
             yield out[out["word"] != ""]
 
-    source = df.select(*keep, text)
+    source = spread_small(df.select(*keep, text))
     kept = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
     return source.mapInPandas(split, f"{kept}, word string" if kept else "word string")
 

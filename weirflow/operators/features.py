@@ -38,36 +38,37 @@ class Anchors:
         return from_micros(F.lit(self.first) + number * F.lit(DAY))
 
 
-def _numbers(low: Column, high: Column, anchors: Anchors) -> Column:
-    low = F.greatest(low, F.lit(0).cast("long"))
-    high = F.least(high, F.lit(anchors.count - 1).cast("long"))
-    return F.explode(F.when(low <= high, F.sequence(low, high)))
-
-
 def _offset(ts: str, anchors: Anchors) -> Column:
     return micros(ts) - F.lit(anchors.first)
 
 
-def label_counts(uses: DataFrame, user: str, tag: str, ts: str, anchors: Anchors) -> DataFrame:
-    """Uses in ``[T - d, T)``: the one anchor number with ts < T <= ts + d."""
-    number = floor_div(_offset(ts, anchors), DAY) + 1
-    return (
-        uses.withColumn("anchor_no", number)
-        .where(F.col("anchor_no").between(0, anchors.count - 1))
-        .groupBy(user, tag, "anchor_no")
-        .agg(F.count(F.lit(1)).alias("label"))
-    )
+def _numbers(low: Column, high: Column, anchors: Anchors) -> Column:
+    """The anchor numbers from ``low`` to ``high`` that exist."""
+    low = F.greatest(low, F.lit(0).cast("long"))
+    high = F.least(high, F.lit(anchors.count - 1).cast("long"))
+    return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
 
 
-def window_counts(uses: DataFrame, user: str, tag: str, ts: str, anchors: Anchors, name: str) -> DataFrame:
-    """Uses in the open interval ``(T - 4d, T - d)``: anchors with ts + d < T < ts + 4d."""
+def use_counts(uses: DataFrame, user: str, tag: str, ts: str, anchors: Anchors) -> DataFrame:
+    """Per user, tag and anchor: ``label`` and ``num_tweets``, for anchors where one of them is not 0."""
     offset = _offset(ts, anchors)
+    # ts < T <= ts + d holds for one anchor, ts + d < T < ts + 4d for at most three
+    label_no = floor_div(offset, DAY) + 1
     low = floor_div(offset + DAY, DAY) + 1
     high = -floor_div(-(offset + (LOOKBACK_DAYS + 1) * DAY), DAY) - 1
+
+    def tagged(numbers: Column, is_label: int) -> Column:
+        return F.transform(numbers, lambda n: F.struct(n.alias("anchor_no"), F.lit(is_label).alias("is_label")))
+
+    hit = F.explode(
+        F.concat(
+            tagged(_numbers(label_no, label_no, anchors), 1), tagged(_numbers(low, high, anchors), 0)
+        )
+    )
     return (
-        uses.withColumn("anchor_no", _numbers(low, high, anchors))
-        .groupBy(user, tag, "anchor_no")
-        .agg(F.count(F.lit(1)).alias(name))
+        uses.select(user, tag, hit.alias("__hit"))
+        .groupBy(user, tag, F.col("__hit.anchor_no").alias("anchor_no"))
+        .agg(F.sum("__hit.is_label").alias("label"), F.sum(1 - F.col("__hit.is_label")).alias("num_tweets"))
     )
 
 
@@ -78,7 +79,7 @@ def follower_counts(counts: DataFrame, relations: DataFrame, user: str, follower
     return relations.join(theirs, follower).groupBy(user, *rest).agg(F.sum(value).alias(name))
 
 
-def _known(relations: DataFrame, uses: DataFrame, profiles: DataFrame, user: str, follower: str):
+def known_users(relations: DataFrame, uses: DataFrame, profiles: DataFrame, user: str, follower: str):
     """Uses by users with a profile, and the relations between such users."""
     uses = uses.join(profiles.select(user), user, "left_semi")
     people = uses.select(user).distinct()
@@ -102,22 +103,26 @@ def training_rows(
     follower: str = "follower",
 ) -> DataFrame:
     """One row per user, tag and anchor at which the user had used the tag more than a day before."""
-    uses, pairs = _known(relations, uses, profiles, user, follower)
+    uses, pairs = known_users(relations, uses, profiles, user, follower)
     # eligible from the first anchor with T - d > first use
     first = uses.groupBy(user, tag).agg(F.min(ts).alias("__first"))
     low = floor_div(_offset("__first", anchors) + DAY, DAY) + 1
     last = F.lit(anchors.count - 1).cast("long")
-    eligible = first.select(user, tag, _numbers(low, last, anchors).alias("anchor_no"))
-    own = window_counts(uses, user, tag, ts, anchors, "num_tweets")
-    theirs = follower_counts(own, pairs, user, follower, tag, "num_tweets", "num_user_relations")
+    eligible = first.select(user, tag, F.explode(_numbers(low, last, anchors)).alias("anchor_no"))
+    own = use_counts(uses, user, tag, ts, anchors)
+    theirs = neighbour_counts(own, pairs, user, follower, tag)
     on = [user, tag, "anchor_no"]
-    rows = eligible
-    for part in (label_counts(uses, user, tag, ts, anchors), own, theirs):
-        rows = rows.join(part, on, "left")
+    rows = eligible.join(own, on, "left").join(theirs, on, "left")
     filled = rows.na.fill(0, ["label", "num_tweets", "num_user_relations"])
     return filled.withColumn("anchor", anchors.time(F.col("anchor_no"))).drop("anchor_no").join(profiles, user)
 
 
+def neighbour_counts(own: DataFrame, pairs: DataFrame, user: str, follower: str, tag: str) -> DataFrame:
+    """Per user, tag and anchor: the uses of the user's followers in the feature window."""
+    theirs = own.where("num_tweets > 0").select(user, tag, "anchor_no", "num_tweets")
+    return follower_counts(theirs, pairs, user, follower, tag, "num_tweets", "num_user_relations")
+
+
 def scoring_rows(
     uses: DataFrame,
     relations: DataFrame,
@@ -129,7 +134,7 @@ def scoring_rows(
     follower: str = "follower",
 ) -> DataFrame:
     """One row per user and used tag, with the uses of the last three days before ``as_of`` and after."""
-    uses, pairs = _known(relations, uses, profiles, user, follower)
+    uses, pairs = known_users(relations, uses, profiles, user, follower)
     recent = F.col(ts) > F.expr(f"timestamp_ntz'{as_of}' - interval {LOOKBACK_DAYS} days")
     own = uses.groupBy(user, tag).agg(F.sum(F.when(recent, 1).otherwise(0)).alias("num_tweets"))
     theirs = follower_counts(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.operators.sets import spread_small
+
 # The tracked tags.
 TRACKED_TAGS = (
     "politics", "funny", "win", "happybirthday", "metoo", "photography", "marvel", "pets", "friends", "science",
@@ -37,7 +39,7 @@ def tracked(df: DataFrame, column: str, tags: Sequence[str] = TRACKED_TAGS) -> D
 
 def words(df: DataFrame, text: str, name: str = "word", keep: Sequence[str] = ()) -> DataFrame:
     """One row per word: split at white space, lower case, no empty words."""
-    split = df.select(*keep, F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias(name))
+    split = spread_small(df.select(*keep, text)).select(*keep, F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias(name))
     return split.where(F.col(name) != "")
 
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.operators.sets import spread_small
+
 
 def resolve_edges(edges: DataFrame, names: DataFrame, src: str, dst: str, key: str, name: str) -> DataFrame:
     """Replace both ends of an edge by looking them up; edges with an unknown end go."""
@@ -85,7 +87,7 @@ def percolate(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, t
 
     def terms(df: DataFrame, key: str) -> DataFrame:
         distinct = F.array_distinct(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""))
-        return df.select(key, distinct.alias("terms"))
+        return spread_small(df.select(key, text)).select(key, distinct.alias("terms"))
 
     doc_terms, query_terms = terms(docs, doc_id), terms(queries, query_id)
     posted = doc_terms.select(doc_id, F.explode("terms").alias("term"))

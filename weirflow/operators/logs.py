@@ -92,8 +92,15 @@ def _signed32(column: Column) -> Column:
     return F.when(column >= 2**31, column - 2**32).otherwise(column).cast("int")
 
 
-EVENT_COLUMNS = "type string, seq long, ts_ms long, server int, state string, src int, dst int, zxid long, " \
-    "count int, epoch int, epoch2 long, text string"
+EVENT_FIELDS = {
+    "type": "string", "server": "int", "state": "string", "src": "int", "dst": "int", "zxid": "long",
+    "count": "int", "epoch": "int", "epoch2": "long", "text": "string", "__rank": "long",
+}
+
+
+def _event(name: str, **columns: Column) -> Column:
+    fields = {"type": F.lit(name), **columns}
+    return F.struct(*[fields.get(f, F.lit(None)).cast(kind).alias(f) for f, kind in EVENT_FIELDS.items()])
 
 
 def log_events(entries: DataFrame, block: Column | None = None) -> DataFrame:
@@ -109,85 +116,75 @@ def log_events(entries: DataFrame, block: Column | None = None) -> DataFrame:
     appearance, so "seen so far" is a number k and the targets are the servers 1 … k.
     """
     block = integral_block("seq") if block is None else block
+    text = F.col("log_text")
     found = {
-        "__state": F.regexp_extract("log_text", STATE_CHANGE, 1),
-        "__election": F.regexp_extract("log_text", NEW_ELECTION, 2),
-        "__note_zxid": F.regexp_extract("log_text", NOTIFICATION, 2),
+        "__state": F.regexp_extract(text, STATE_CHANGE, 1),
+        "__election": F.regexp_extract(text, NEW_ELECTION, 2),
+        "__note": F.regexp_extract(text, NOTIFICATION, 2),
     }
     # an entry has one meaning, in this order
     kind = (
         F.when(F.col("__state") != "", "state")
         .when(F.col("__election") != "", "election")
-        .when(F.col("__note_zxid") != "", "notification")
-        .when(F.col("log_text").rlike(EXCEPTION), "exception")
-    )
-    zxid = F.when(F.col("__kind") == "election", F.col("__election")).when(
-        F.col("__kind") == "notification", F.col("__note_zxid")
+        .when(F.col("__note") != "", "notification")
+        .when(text.rlike(EXCEPTION), "exception")
     )
+    is_kind = {k: F.col("__kind") == k for k in ("state", "election", "notification", "exception")}
+    zxid = F.when(is_kind["election"], F.col("__election")).when(is_kind["notification"], F.col("__note"))
     parsed = (
         entries.withColumns(found)
         .withColumn("__kind", kind)
-        .withColumn("zxid", zxid.cast("long"))
-        .withColumns({"epoch": high_bits("zxid"), "count": low_bits("zxid")})
-        .drop("__election", "__note_zxid")
+        .withColumn("__zxid", zxid.cast("long"))
+        .drop("__election", "__note")
     )
-    newer = F.col("zxid").isNotNull() & (F.col("epoch") > 0)
-    leads = (F.col("__kind") == "state") & (F.col("__state") == "LEADING")
+    epoch = high_bits("__zxid")
+    newer = F.col("__zxid").isNotNull() & (epoch > 0)
+    leads = is_kind["state"] & (F.col("__state") == "LEADING")
     leader = F.when(leads, F.col("node")).when(newer, F.lit(0))
 
     servers = entries.groupBy("node").agg(F.min("seq").alias("seq"))
     ranks = row_index(servers, ["seq"], name="__rank", block=block)
-    first_seen = ranks.select("seq", F.lit(1).alias("__new"))
-    flagged = parsed.join(first_seen, "seq", "left")
-    before = prefix(flagged, ["seq"], {"__leader": Fold("last", leader)}, block=block, inclusive=False)
-    known = prefix(before, ["seq"], {"__known": Fold("sum", F.coalesce("__new", F.lit(0)))}, block=block).drop("__new")
-
-    def event(name: str, rows: DataFrame, **columns: Column) -> DataFrame:
-        fields = {"type": F.lit(name), "seq": F.col("seq"), "ts_ms": F.col("ts_ms"), **columns}
-        out = []
-        for declared in EVENT_COLUMNS.split(", "):
-            column, type_name = declared.split(" ")
-            out.append(fields.get(column, F.lit(None)).cast(type_name).alias(column))
-        return rows.select(*out)
-
-    changed = event(
-        "stateChange", known.where("__kind = 'state'"), server=F.col("node"), state=F.col("__state")
+    flagged = parsed.join(ranks.select("seq", F.lit(1).alias("__new")), "seq", "left")
+    new = F.coalesce("__new", F.lit(0))
+    known = prefix(
+        flagged, ["seq"], {"__leader": Fold("last", leader), "__seen": Fold("sum", new)}, block=block, inclusive=False
     )
-    reset = event(
-        "stateChange",
-        known.where(newer & (F.coalesce("__leader", F.lit(0)) != 0)),
-        server=F.col("__leader"),
-        state=F.lit("INIT"),
-    )
-    targets = ranks.select("__rank", F.col("node").alias("dst"))
-    posted = (
-        known.where("__kind = 'election'")
-        .withColumn("__rank", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__known").cast("long"))))
-        .join(targets, "__rank")
-        .where("dst <> node")
-    )
-    message = {"zxid": F.col("zxid"), "count": F.col("count"), "epoch": F.col("epoch")}
-    posts = event("postmessage", posted, src=F.col("node"), dst=F.col("dst"), **message)
-    noted = known.where("__kind = 'notification'").withColumns(
-        {
-            "src": F.regexp_extract("log_text", NOTIFICATION, 4).cast("int"),
-            "epoch2": F.regexp_extract("log_text", NOTIFICATION, 3).cast("long"),
-        }
+
+    message = {"zxid": F.col("__zxid"), "count": low_bits("__zxid"), "epoch": epoch}
+    sender = F.regexp_extract(text, NOTIFICATION, 4).try_cast("int")
+    seen = F.coalesce("__seen", F.lit(0)) + new
+    to_all = F.transform(
+        F.sequence(F.lit(1).cast("long"), seen.cast("long")),
+        lambda rank: _event("postmessage", src=F.col("node"), **message, **{"__rank": rank}),
     )
-    delivered = event(
-        "delivermessage",
-        noted.where("src <> node"),
-        src=F.col("src"),
-        dst=F.col("node"),
-        epoch2=F.col("epoch2"),
-        **message,
+    single = F.array(
+        F.when(is_kind["state"], _event("stateChange", server=F.col("node"), state=F.col("__state"))),
+        F.when(
+            newer & (F.coalesce("__leader", F.lit(0)) != 0),
+            _event("stateChange", server=F.col("__leader"), state=F.lit("INIT")),
+        ),
+        F.when(
+            is_kind["notification"] & (sender != F.col("node")),
+            _event(
+                "delivermessage",
+                src=sender,
+                dst=F.col("node"),
+                epoch2=F.regexp_extract(text, NOTIFICATION, 3).try_cast("long"),
+                **message,
+            ),
+        ),
+        F.when(is_kind["exception"], _event("exception", server=F.col("node"), text=text)),
+        _event("text", text=text),
     )
-    failed = event("exception", known.where("__kind = 'exception'"), server=F.col("node"), text=F.col("log_text"))
-    texts = event("text", entries, text=F.col("log_text"))
-    events = changed
-    for part in (reset, posts, delivered, failed, texts):
-        events = events.unionByName(part)
-    return events
+    events = known.select(
+        "seq",
+        "ts_ms",
+        F.explode(F.concat(F.array_compact(single), F.when(is_kind["election"], to_all).otherwise(F.array()))).alias("e"),
+    ).select("seq", "ts_ms", "e.*")
+    targets = ranks.select("__rank", F.col("node").alias("__node"))
+    placed = events.join(targets, "__rank", "left").withColumn("dst", F.coalesce("dst", "__node"))
+    to_other = (F.col("type") != "postmessage") | (F.col("src") != F.col("dst"))
+    return placed.where(to_other).select("type", "seq", "ts_ms", *[f for f in EVENT_FIELDS if f not in ("type", "__rank")])
 
 
 def transaction_events(txns: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.operators.ordered import Fold, integral_block, prefix
@@ -35,28 +35,44 @@ def lossy_estimates(df: DataFrame, key: str, index: str, width: int, block_bits:
     return lifted.withColumn("estimate", F.col("__c") + F.col("__m")).drop("__c", "__m")
 
 
-def lossy_count(df: DataFrame, key: str, index: str, width: int, block_bits: int = 16) -> DataFrame:
+def lossy_count(
+    df: DataFrame, key: str, index: str, width: int, total: DataFrame | None = None, block_bits: int = 16
+) -> DataFrame:
     """The keys still held after the last row: ``f`` (counted), ``delta`` (possible error), ``estimate``.
 
-    Rows are counted per key and bucket first; the recursion then runs over buckets:
-    E = max(E before, bucket - 1) + rows of the bucket.
+    Rows are counted per key and bucket first. With c the count of a bucket and s the key's count before
+    it, the final estimate is the key's whole count plus the largest lift = bucket - 1 - s, and the key's
+    present life began at the last bucket that reaches that largest lift. So each block of buckets is
+    reduced to its count and its largest lift, and only those meet along the key. ``total`` is a one-row
+    frame with the number of rows, if that is known more cheaply than by reading them.
     """
     if width < 1:
         raise ValueError("the bucket width must be at least 1")
-    total = df.agg(F.max(index).alias("n"))
+    total = df.agg(F.max(index).alias("n")) if total is None else total
     counts = (
         df.withColumn("bucket", F.expr(f"({index} - 1) div {width} + 1"))
-        .groupBy(key, "bucket")
+        .withColumn("__block", integral_block("bucket", block_bits))
+        .groupBy(key, "__block", "bucket")
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    block = integral_block("bucket", block_bits)
-    summed = prefix(counts, ["bucket"], {"__s": Fold("sum", F.col("__c"))}, [key], block)
-    lift = F.col("bucket") - 1 - (F.col("__s") - F.col("__c"))
-    lifted = prefix(summed, ["bucket"], {"__m": Fold("max", lift)}, [key], block)
-    estimate = F.col("__s") + F.col("__m")
-    entered = estimate == F.col("bucket") - 1 + F.col("__c")
-    held = lifted.groupBy(key).agg(
-        F.max(estimate).alias("estimate"), F.max(F.when(entered, F.col("bucket") - 1)).alias("delta")
+    before = Window.partitionBy(key, "__block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    lift = F.col("bucket") - 1 - F.coalesce(F.sum("__c").over(before), F.lit(0))
+    blocks = (
+        counts.withColumn("__lift", lift)
+        .groupBy(key, "__block")
+        .agg(F.sum("__c").alias("__c"), F.max(F.struct("__lift", "bucket")).alias("__top"))
+    )
+    earlier = Window.partitionBy(key).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    top = F.struct(F.col("__top.__lift") - F.coalesce(F.sum("__c").over(earlier), F.lit(0)), F.col("__top.bucket"))
+    held = (
+        blocks.select(key, "__c", top.alias("__top"))
+        .groupBy(key)
+        .agg(F.sum("__c").alias("__c"), F.max("__top").alias("__top"))
+        .select(
+            key,
+            (F.col("__c") + F.col("__top.col1")).alias("estimate"),
+            (F.col("__top.bucket") - 1).alias("delta"),
+        )
     )
     complete = F.floor(total.scalar() / width).cast("long")
     return held.where(F.col("estimate") > complete).select(

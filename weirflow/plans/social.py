@@ -168,9 +168,9 @@ def feature_training(t):
 
 @query(f"WITH {ANCHORED} SELECT user_id, hashtag, anchor, num_user_relations FROM theirs")
 def neighbour_window_counts(t):
-    known, pairs = features._known(relations(t), uses(t), profiles(t), "user_id", "follower")
-    own = features.window_counts(known, "user_id", "hashtag", "ts", ANCHORS, "num_tweets")
-    counts = features.follower_counts(own, pairs, "user_id", "follower", "hashtag", "num_tweets", "num_user_relations")
+    known, pairs = features.known_users(relations(t), uses(t), profiles(t), "user_id", "follower")
+    own = features.use_counts(known, "user_id", "hashtag", "ts", ANCHORS)
+    counts = features.neighbour_counts(own, pairs, "user_id", "follower", "hashtag")
     return counts.withColumn("anchor", ANCHORS.time(F.col("anchor_no"))).drop("anchor_no")
 
 

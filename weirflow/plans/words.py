@@ -8,6 +8,7 @@ from weirflow.functions.udfs import SplitWords, exclaim, python_split, register_
 from weirflow.operators import aggregates as agg
 from weirflow.operators import filters, lossy, windows
 from weirflow.operators.ordered import Fold, prefix
+from weirflow.operators.sets import spread_small
 from weirflow.plans.registry import Tables, query
 
 WORDS = r"""words AS (
@@ -86,7 +87,7 @@ SPACES = """SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split(text,
 @query(SPACES)
 def udtf_split(t):
     register_table_function(t.spark, "split_words", SplitWords)
-    t.documents.createOrReplaceTempView("weirflow_documents")
+    spread_small(t.documents.select("text")).createOrReplaceTempView("weirflow_documents")
     return t.spark.sql("SELECT word, count(*) AS cnt FROM weirflow_documents, LATERAL split_words(text) GROUP BY word")
 
 
@@ -111,17 +112,19 @@ estimated AS (SELECT word, n, b, c, c + max(b - c) OVER (PARTITION BY word ORDER
 
 
 def _indexed_words(t: Tables):
-    """All words in order of text and position, numbered from 1.
+    """All words in order of text and position, numbered from 1, and their number.
 
     Only the word counts of the texts are added up along the order; the words then get the opening number
     of their text plus their position.
     """
     kept = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
-    texts = t.documents.select("doc_id", F.size(kept).cast("long").alias("n_words"))
-    opened = prefix(texts, ["doc_id"], {"upto": Fold("sum", F.col("n_words"))})
-    words = filters.positioned_words(t.documents, "text", ["doc_id"])
-    opening = opened.select("doc_id", (F.col("upto") - F.col("n_words")).alias("opening"))
-    return words.join(opening, "doc_id").select("word", (F.col("opening") + F.col("pos")).alias("n"))
+    texts = spread_small(t.documents.select("doc_id", "text"))
+    sizes = texts.select("doc_id", F.size(kept).cast("long").alias("n_words"))
+    upto = prefix(sizes, ["doc_id"], {"upto": Fold("sum", F.col("n_words"))})
+    opening = upto.select("doc_id", (F.col("upto") - F.col("n_words")).alias("opening"))
+    words = filters.positioned_words(texts.join(opening, "doc_id"), "text", ["opening"])
+    numbered = words.select("word", (F.col("opening") + F.col("pos")).alias("n"))
+    return numbered, sizes.agg(F.sum("n_words").alias("n"))
 
 
 @query(
@@ -132,7 +135,8 @@ def _indexed_words(t: Tables):
     FROM entered GROUP BY word HAVING max(e) > (SELECT max(n) FROM indexed) // 100"""
 )
 def lossy_count(t):
-    return lossy.lossy_count(_indexed_words(t), "word", "n", 100)
+    numbered, total = _indexed_words(t)
+    return lossy.lossy_count(numbered, "word", "n", 100, total)
 
 
 @query(
