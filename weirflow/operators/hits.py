@@ -37,6 +37,8 @@ def hits(
     if update not in ("hub", "authority"):
         raise ValueError("update must be 'hub' or 'authority'")
     shared_dir(edges.sparkSession)
+    # read twice in every round, so written once
+    edges = edges.select("src", "dst").checkpoint()
     carried = edges.select(F.col("src").alias("id")).distinct().withColumn("score", F.lit(1.0))
     authorities = hubs = carried
     for number in range(1, rounds + 1):
