@@ -259,10 +259,13 @@ def _appended(t: Tables, label: str, frame: Callable[[DataFrame], DataFrame]) ->
     return t.spark.read.parquet(run.out)
 
 
+HOURLY = """WITH hourly AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS cnt
+  FROM events GROUP BY ALL)"""
+
+
 @query(
-    """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-      event_type, count(*) AS cnt FROM events GROUP BY ALL
-    HAVING window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+    f"""{HOURLY} SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, cnt FROM hourly
+    WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
 )
 def stream_windows(t):
     return _appended(
@@ -273,8 +276,8 @@ def stream_windows(t):
 
 
 @query(
-    """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS cnt FROM events GROUP BY ALL
-    HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+    f"""{HOURLY} SELECT window_start, event_type, cnt FROM hourly
+    WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
 )
 def stream_salted_windows(t):
     parts = _appended(
