@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from weirflow.operators.joins import update_fields
 from weirflow.plans.registry import query
+from weirflow.session import scratch_path
 from weirflow.sources import sinks
-from weirflow.sources.readers import decode_topic_payload
+from weirflow.sources.readers import decode_topic_payload, parse_pairs, text_lines
 
 
 @query(
@@ -76,3 +77,31 @@ def topic_payload_decode(t):
 )
 def text_tuples(t):
     return sinks.text_tuples(t.orders, ["o_orderkey", "o_orderstatus"])
+
+
+# --- written and read back ----------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def delimited_sink(t):
+    path = scratch_path(t.spark, "delimited")
+    sinks.write_delimited(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), path, "|", rows_per_file=5000)
+    return t.spark.read.option("sep", "|").schema("o_orderkey long, o_custkey long, o_orderstatus string").csv(path)
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, event_id FROM events")
+def partitioned_sink(t):
+    path = scratch_path(t.spark, "partitioned")
+    rows = sinks.with_time_partition(t.events.select("event_id", "event_type", "ts"), "ts", "yyyy-MM-dd", "day")
+    sinks.write_partitioned(rows.drop("ts"), path, ["day", "event_type"])
+    schema = "event_id long, day string, event_type string"
+    return t.spark.read.schema(schema).parquet(path)
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer")
+def text_file_roundtrip(t):
+    """Saved as text tuples and parsed again."""
+    path = scratch_path(t.spark, "tuples")
+    sinks.write_text(t.customer, path, ["c_custkey", "c_mktsegment"])
+    pairs = parse_pairs(text_lines(t.spark, f"{path}/part-*"), [("c_mktsegment", "string")], "c_custkey")
+    return pairs.withColumn("c_custkey", pairs["c_custkey"].cast("long"))

@@ -15,9 +15,10 @@ from weirflow.plans.registry import Tables, query
 from weirflow.plans.social import K, _k
 from weirflow.plans.words import ASKED, COUNTS
 from weirflow.session import scratch_path
+from weirflow.sources.readers import permissive_json
 from weirflow.streaming import jobs
 from weirflow.streaming import tables as st
-from weirflow.streaming.sources import table_stream
+from weirflow.streaming.sources import dropped_files, table_stream
 
 HALF = "2024-01-16 00:00:00"
 
@@ -301,3 +302,33 @@ def stream_single_join(t):
         return jobs.join_streams(kinds, values, "event_id", "kind_ts", "value_ts", "30 seconds").drop("kind_ts", "value_ts")
 
     return _appended(t, "join", joined)
+
+
+@query("SELECT event_id, 'view' AS tag FROM events WHERE event_type = 'view' UNION ALL SELECT event_id, 'all' FROM events")
+def union_streams(t):
+    """Two streams of different origin into one operator."""
+
+    def both(s: DataFrame) -> DataFrame:
+        views = s.where("event_type = 'view'").select("event_id", F.lit("view").alias("tag"))
+        return views.unionByName(s.select("event_id", F.lit("all").alias("tag")))
+
+    return _appended(t, "union", both)
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_type <> 'error'")
+def dir_stream(t):
+    """Lines of files dropped into a folder; lines that are no JSON are diverted."""
+    run = Run(scratch_path(t.spark, "dropped"))
+    good = F.to_json(F.struct("event_id", "event_type"))
+    line = F.when(F.col("event_type") == "error", F.concat(F.lit("{bad "), F.col("event_id").cast("string"))).otherwise(good)
+    for part in (_early(), ~_early()):
+        t.events.where(part).select(line.alias("value")).write.mode("append").text(f"{run.root}/in")
+        lines = dropped_files(t.spark, f"{run.root}/in", archive=f"{run.root}/archive")
+
+        def step(batch: DataFrame, batch_id: int) -> None:
+            parsed, bad = permissive_json(batch, "event_id long, event_type string")
+            parsed.write.mode("overwrite").parquet(f"{run.out}/batch_id={batch_id}")
+            bad.write.mode("overwrite").text(f"{run.root}/bad/batch_id={batch_id}")
+
+        jobs.drain(lines, step, run.checkpoint)
+    return t.spark.read.parquet(run.out).drop("batch_id")

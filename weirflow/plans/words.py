@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirflow.functions.udfs import SplitWords, exclaim, python_split, register_scalar, register_table_function
+from weirflow.functions.udfs import python_split as split_in_python
+from weirflow.functions.udfs import SplitWords, exclaim, register_scalar, register_table_function
 from weirflow.operators import aggregates as agg
 from weirflow.operators import filters, lossy, windows
 from weirflow.operators.ordered import Fold, prefix
@@ -92,8 +93,8 @@ def udtf_split(t):
 
 
 @query(SPACES)
-def python_split_words(t):
-    return agg.count_by(python_split(t.documents, "text"), "word")
+def python_split(t):
+    return agg.count_by(split_in_python(t.documents, "text"), "word")
 
 
 @query("SELECT c_custkey, c_name || '!!!' AS exclaimed FROM customer")
