@@ -50,13 +50,13 @@ def single_join(sources: Sequence[DataFrame], output: Sequence[str]) -> DataFram
     def one_per_key(source: DataFrame) -> DataFrame:
         rest = [c for c in source.columns if c not in shared]
         folded = source.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(F.lit(0).alias("__one"), *rest)).alias("__row")
+            F.count(F.lit(1)).alias("__n"), *[F.any_value(F.col(c)).alias(c) for c in rest]
         )
-        # the check makes the row itself, so no later step can prune it away
-        checked = F.when(F.col("__n") == 1, F.col("__row")).otherwise(
-            F.raise_error(F.lit("same side of single join twice")).cast(folded.schema["__row"].dataType)
+        # the check makes a join key, so no later step can prune it away
+        checked = F.when(F.col("__n") == 1, F.col(keys[0])).otherwise(
+            F.raise_error(F.lit("same side of single join twice")).cast(folded.schema[keys[0]].dataType)
         )
-        return folded.select(*keys, checked.alias("__row")).select(*keys, *[F.col(f"__row.{c}") for c in rest])
+        return folded.withColumn(keys[0], checked).drop("__n")
 
     return reduce(lambda a, b: a.join(b, keys), map(one_per_key, sources)).select(*output)
 
