@@ -81,3 +81,8 @@ def test_external_tables_and_plans(spark, tmp_path):
     finally:
         spark.sql("DROP TABLE IF EXISTS orders_in")
         spark.sql("DROP TABLE IF EXISTS orders_out")
+
+
+def test_parallelism_hint(spark):
+    spark.range(10).createOrReplaceTempView("hinted")
+    assert spark.sql("SELECT /*+ REPARTITION(3) */ id FROM hinted").rdd.getNumPartitions() == 3

@@ -209,3 +209,19 @@ def test_steady_batches(spark, tmp_path):
     query.awaitTermination(6)
     query.stop()
     assert sizes and set(sizes) == {3}
+
+
+def test_a_changed_block_list_takes_effect(spark, tmp_path, rows):
+    blocked = []
+    for part in (["a", "b"], ["a", "b"]):
+        stream = feed_sentences(spark, tmp_path, *part)
+        jobs.without_blocked(
+            stream,
+            lambda: spark.createDataFrame([(w,) for w in blocked], "sentence string"),
+            "sentence",
+            f"{tmp_path}/out",
+            f"{tmp_path}/cp",
+        )
+        blocked.append("a")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert rows(out, "sentence") == [("a",), ("b",), ("b",)]

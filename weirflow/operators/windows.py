@@ -19,7 +19,7 @@ def micros(ts: str | Column) -> Column:
 def floor_div(value: str | Column, width: int) -> Column:
     """Whole-number division that rounds down, also below zero."""
     column = F.col(value) if isinstance(value, str) else value
-    return F.floor((column - F.pmod(column, F.lit(width))) / width).cast("long")
+    return F.call_function("div", column - F.pmod(column, F.lit(width)), F.lit(width))
 
 
 def from_micros(value: Column) -> Column:
@@ -32,6 +32,14 @@ def _seconds(value: int) -> int:
     return value
 
 
+def _copies(panes: DataFrame, low: Column, high: Column, name: str, gaps: bool) -> DataFrame:
+    """A copy of each pane for every window it lies in. With gaps between windows it may lie in none."""
+    bounded = panes.withColumns({"__lo": low, "__hi": high})
+    if gaps:
+        bounded = bounded.where("__lo <= __hi")
+    return bounded.withColumn(name, F.explode(F.sequence("__lo", "__hi"))).drop("__lo", "__hi")
+
+
 # --- windows by count ---------------------------------------------------------------------
 
 
@@ -74,13 +82,7 @@ def sliding_count_sum(
         .groupBy(*keys, "__pane")
         .agg(F.sum(value).alias("__sum"), F.count(F.lit(1)).alias("__rows"))
     )
-    spread = (
-        panes.withColumns(
-            {"__lo": F.expr(f"__pane div {per} + 1"), "__hi": F.expr(f"(__pane + {span}) div {per}")}
-        )
-        .where("__lo <= __hi")
-        .withColumn("window_no", F.explode(F.sequence("__lo", "__hi")))
-    )
+    spread = _copies(panes, F.expr(f"__pane div {per} + 1"), F.expr(f"(__pane + {span}) div {per}"), "window_no", span < per)
     closing = F.col("__pane") == F.col("window_no") * per - 1
     return (
         spread.groupBy(*keys, "window_no")
@@ -141,16 +143,8 @@ def sliding_time_count(
     pane = math.gcd(length, slide)
     per, span = slide // pane, length // pane
     counted = _panes(df, ts, pane, [F.count(F.lit(1)).alias("__n")], keys)
-    spread = (
-        counted.withColumns(
-            {
-                "__hi": floor_div("__pane", per),
-                "__lo": floor_div(F.col("__pane") - span, per) + 1,
-            }
-        )
-        .where("__lo <= __hi")
-        .withColumn("__start", F.explode(F.sequence("__lo", "__hi")))
-    )
+    low, high = floor_div(F.col("__pane") - span, per) + 1, floor_div("__pane", per)
+    spread = _copies(counted, low, high, "__start", span < per)
     start = F.col("__start") * (slide * 1_000_000)
     return (
         spread.groupBy(*keys, "__start")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.operators.filters import words
+from weirflow.operators.joins import lookup
 from weirflow.plans.registry import Tables, query
 from weirflow.plans.social import K, _k
 from weirflow.plans.words import ASKED, COUNTS
@@ -332,3 +333,24 @@ def dir_stream(t):
 
         jobs.drain(lines, step, run.checkpoint)
     return t.spark.read.parquet(run.out).drop("batch_id")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def stream_blocklist(t):
+    """The block list is read anew for every batch."""
+    run = _feed(
+        t.documents.select("doc_id", "source"),
+        F.col("doc_id") % 2 == 0,
+        "blocklist",
+        lambda s, r: jobs.without_blocked(s, lambda: t.labels.where("toxic = 1"), "doc_id", r.out, r.checkpoint),
+    )
+    return t.spark.read.parquet(run.out).drop("batch_id")
+
+
+@query("SELECT event_id, c_mktsegment FROM events LEFT JOIN customer ON c_custkey = user_id")
+def stream_lookup(t):
+    """Stream rows enriched from a static table; misses stay as null."""
+    customers = t.customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_acctbal")
+    return _appended(
+        t, "lookup", lambda s: lookup(s, customers, "user_id", ["c_mktsegment"]).select("event_id", "c_mktsegment")
+    )

@@ -176,6 +176,20 @@ def lossy_result(table: BatchTable, spark, key: str) -> DataFrame:
     )
 
 
+def without_blocked(
+    stream: DataFrame, blocked: Callable[[], DataFrame], on: str, out: str, checkpoint: str
+) -> None:
+    """Drop rows whose key is on a block list. ``blocked`` is called for every batch, so a changed list
+    takes effect with the next batch.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.join(blocked(), on, "left_anti")
+        kept.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    drain(stream, step, checkpoint)
+
+
 def late_split(batch: DataFrame, ts: str, watermark: Column) -> tuple[DataFrame, DataFrame]:
     """The rows of a batch in time, and those older than the watermark of the batches before."""
     late = F.col(ts) < watermark
