@@ -38,7 +38,9 @@ def test_known_vector(spark):
 
 
 @pytest.mark.parametrize("width", [1, 5, 7, 100])
-def test_same_as_the_rule(spark, skewed, width):
+@pytest.mark.parametrize("count_first", [1, 4096])
+def test_same_as_the_rule(spark, skewed, width, count_first, monkeypatch):
+    monkeypatch.setattr(lossy, "COUNT_FIRST_FROM", count_first)
     emitted, held = by_rule(skewed, width)
     frame = frame_of(spark, skewed).repartition(4)
     out = lossy.lossy_estimates(frame, "tag", "n", width, block_bits=4).orderBy("n").collect()

@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from weirflow.operators.ordered import Fold, integral_block, prefix
 
 
+COUNT_FIRST_FROM = 4096
+
+
 def lossy_estimates(df: DataFrame, key: str, index: str, width: int, block_bits: int = 16) -> DataFrame:
     """The estimate after every row. ``index`` numbers all rows 1, 2, 3, …"""
     if width < 1:
@@ -40,22 +43,30 @@ def lossy_count(
 ) -> DataFrame:
     """The keys still held after the last row: ``f`` (counted), ``delta`` (possible error), ``estimate``.
 
-    Rows are counted per key and bucket first. With c the count of a bucket and s the key's count before
-    it, the final estimate is the key's whole count plus the largest lift = bucket - 1 - s, and the key's
-    present life began at the last bucket that reaches that largest lift. So each block of buckets is
-    reduced to its count and its largest lift, and only those meet along the key. ``total`` is a one-row
-    frame with the number of rows, if that is known more cheaply than by reading them.
+    With s the key's count before a row, the final estimate is the key's whole count plus the largest
+    lift = bucket - 1 - s, and the key's present life began in the last bucket that reaches that lift. So
+    each block of a key's rows is reduced to its count and its largest lift, and only those meet along the
+    key. Rows of one bucket may be counted together first, since nothing is dropped inside a bucket.
+    ``total`` is a one-row frame with the number of rows, if that is known more cheaply than by reading them.
     """
     if width < 1:
         raise ValueError("the bucket width must be at least 1")
     total = df.agg(F.max(index).alias("n")) if total is None else total
-    counts = (
-        df.withColumn("bucket", F.expr(f"({index} - 1) div {width} + 1"))
-        .withColumn("__block", integral_block("bucket", block_bits))
-        .groupBy(key, "__block", "bucket")
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
-    before = Window.partitionBy(key, "__block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("bucket", F.expr(f"({index} - 1) div {width} + 1"))
+    if width >= COUNT_FIRST_FROM:
+        # a frequent key has many rows in such a bucket: count them before the shuffle
+        along = "bucket"
+        counts = (
+            rows.withColumn("__block", integral_block(along, block_bits))
+            .groupBy(key, "__block", along)
+            .agg(F.count(F.lit(1)).alias("__c"))
+        )
+    else:
+        along = index
+        counts = rows.select(
+            key, index, "bucket", integral_block(along, block_bits).alias("__block"), F.lit(1).cast("long").alias("__c")
+        )
+    before = Window.partitionBy(key, "__block").orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
     lift = F.col("bucket") - 1 - F.coalesce(F.sum("__c").over(before), F.lit(0))
     blocks = (
         counts.withColumn("__lift", lift)
