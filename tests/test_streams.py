@@ -74,6 +74,7 @@ def test_a_failed_batch_is_repeated_without_counting_twice(spark, tmp_path, tabl
 def test_compaction_keeps_the_state_and_ignores_a_broken_one(spark, tmp_path, table):
     for batch_id in range(4):
         table.write(spark.createDataFrame([("x", 1)], "word string, cnt long"), batch_id)
+    assert table.read(spark, before=1).first().cnt == 1
     table.compact(spark, 2)
     assert state(table, spark) == {"x": 4}
     table.compact(spark, 3)
@@ -81,7 +82,16 @@ def test_compaction_keeps_the_state_and_ignores_a_broken_one(spark, tmp_path, ta
     # a base whose write did not finish has no success mark
     os.remove(f"{tmp_path}/table/base=3/_SUCCESS")
     assert state(table, spark) == {"x": 4}
-    assert table.read(spark, before=1).first().cnt == 1
+
+
+def test_needless_folders_go_and_a_repeated_merge_changes_nothing(spark, tmp_path, table):
+    for batch_id in range(7):
+        table.write(spark.createDataFrame([("x", 1)], "word string, cnt long"), batch_id)
+        if batch_id % 2 == 0:
+            table.compact(spark, batch_id)
+            table.compact(spark, batch_id)
+        assert state(table, spark) == {"x": batch_id + 1}
+    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["base=4", "base=6", "batch=5", "batch=6"]
 
 
 def test_set_and_upsert(spark, tmp_path, rows):
@@ -100,7 +110,9 @@ def test_ttl(spark, rows):
     assert rows(st.unexpired(frame, "at", "2 hours", "2024-01-01 03:00:00"), "k") == [("b",)]
 
 
-def test_running_values_go_on_after_a_restart(spark, tmp_path, rows):
+@pytest.mark.parametrize("every", [1, 50])
+def test_running_values_go_on_after_a_restart(spark, tmp_path, rows, every, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", every)
     table = st.BatchTable(f"{tmp_path}/t", "k string, n long, total long", st.sum_by(["k"], ["n", "total"]))
     for part in ([(0, "a", 1), (1, "b", 5), (2, "a", 2)], [(3, "a", 3), (4, "b", 6)], [(5, "c", 1)]):
         put(spark, tmp_path / "in", part, "seq long, k string, v long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def time_range(df: DataFrame, ts: str, start: str | None = None, end: str | None
         raise ValueError("give an end or a period, not both")
     if period is not None and start is None:
         raise ValueError("a period needs a start")
-    if start is not None and end is not None and end < start:
+    if start is not None and end is not None and datetime.fromisoformat(end) < datetime.fromisoformat(start):
         raise ValueError("the end lies before the start")
     if start is not None:
         df = df.where(F.col(ts) >= F.expr(f"timestamp_ntz'{start}'"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weirflow.operators.filters import time_range
 from weirflow.operators.ordered import Fold, integral_block, prefix, row_index
+from weirflow.session import shared_dir
 
 # The line formats of the server log.
 RECORD_START = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})"
@@ -200,8 +201,11 @@ def transaction_events(txns: DataFrame) -> DataFrame:
 
 def undelivered(events: DataFrame) -> DataFrame:
     """Proposals sent of which no delivery with the same sender, receiver and id is known."""
-    sent = events.where("type = 'postmessage'")
-    arrived = events.where("type = 'delivermessage'").select("src", "dst", "zxid")
+    shared_dir(events.sparkSession)
+    # both sides come from the same costly pass over the log, so its messages are written once
+    messages = events.where(F.col("type").isin("postmessage", "delivermessage")).checkpoint()
+    sent = messages.where("type = 'postmessage'")
+    arrived = messages.where("type = 'delivermessage'").select("src", "dst", "zxid")
     return sent.join(arrived, ["src", "dst", "zxid"], "left_anti")
 
 

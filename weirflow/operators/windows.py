@@ -26,7 +26,7 @@ def from_micros(value: Column) -> Column:
     return F.timestamp_micros(value).cast("timestamp_ntz")
 
 
-def _seconds(value: int) -> int:
+def _positive(value: int) -> int:
     if value < 1:
         raise ValueError("a window length or slide must be at least 1")
     return value
@@ -47,7 +47,7 @@ def tumbling_count(
     df: DataFrame, size: int, order: Sequence[str], aggs: Sequence[Column], keys: Sequence[str] = (), block=None
 ) -> DataFrame:
     """Aggregate every ``size`` consecutive rows of a key; the incomplete rest fires nothing."""
-    _seconds(size)
+    _positive(size)
     numbered = row_index(df, order, keys, "__n", block)
     return (
         numbered.withColumn("window_no", F.expr(f"(__n - 1) div {size}"))
@@ -73,7 +73,7 @@ def sliding_count_sum(
     Window ``window_no`` (from 1) ends at row ``window_no * slide``; the first ones hold fewer rows.
     Rows are summed into panes first, so a row is not copied once per window it falls in.
     """
-    _seconds(length), _seconds(slide)
+    _positive(length), _positive(slide)
     pane = math.gcd(length, slide)
     per, span = slide // pane, length // pane
     panes = (
@@ -119,7 +119,7 @@ def accumulated_window_sum(df, value, length, slide, order, keys=(), block=None)
 
 def tumbling_time(df: DataFrame, ts: str, seconds: int, aggs: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:
     """Aggregate by time window; columns ``window_start`` and ``window_end``."""
-    _seconds(seconds)
+    _positive(seconds)
     return (
         df.groupBy(*keys, F.window(ts, f"{seconds} seconds").alias("__w"))
         .agg(*aggs)
@@ -139,7 +139,7 @@ def sliding_time_count(
 
     Counting by pane first means a long window with a short slide copies pane totals, not rows.
     """
-    _seconds(length), _seconds(slide)
+    _positive(length), _positive(slide)
     pane = math.gcd(length, slide)
     per, span = slide // pane, length // pane
     counted = _panes(df, ts, pane, [F.count(F.lit(1)).alias("__n")], keys)
@@ -161,7 +161,7 @@ def rolling_count(df: DataFrame, ts: str, obj: str, length: int, emit: int) -> D
     count to the ``length / emit`` windows it lies in and 0 to the one after, so a window that only
     holds that 0 is the closing row. ``window_seconds`` is shorter than ``length`` at the start.
     """
-    slots = length // _seconds(emit)
+    slots = length // _positive(emit)
     if slots < 2:
         raise ValueError("the window must hold at least two slots")
     counted = _panes(df, ts, emit, [F.count(F.lit(1)).alias("__n")], [obj])

@@ -35,19 +35,27 @@ def run_until_empty(frame: DataFrame, path: str, checkpoint: str, mode: str = "a
     query.awaitTermination()
 
 
+COMPACT_EVERY = 50
+
+
+def _compact(table: BatchTable, batch: DataFrame, batch_id: int, every: int | None = None) -> None:
+    """Now and then merge the batches before this one. This one may still be repeated, so it stays apart."""
+    if batch_id and batch_id % (every or COMPACT_EVERY) == 0:
+        table.compact(batch.sparkSession, batch_id - 1)
+
+
 def keep_table(
     stream: DataFrame,
     table: BatchTable,
     contribution: Callable[[DataFrame], DataFrame],
     checkpoint: str,
-    compact_every: int = 50,
+    compact_every: int = COMPACT_EVERY,
 ) -> None:
     """Add each batch's contribution to the table; merge the folders every ``compact_every`` batches."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         table.write(contribution(batch), batch_id)
-        if batch_id and batch_id % compact_every == 0:
-            table.compact(batch.sparkSession, batch_id)
+        _compact(table, batch, batch_id, compact_every)
 
     drain(stream, step, checkpoint)
 
@@ -92,6 +100,7 @@ def running_values(
             }
         )
         joined.drop("n0", "t0").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        _compact(table, batch, batch_id)
 
     drain(stream, step, checkpoint)
 
@@ -117,6 +126,7 @@ def count_windows(
             .agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).alias("total"))
         )
         parts.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        _compact(table, batch, batch_id)
 
     drain(stream, step, checkpoint)
 
@@ -211,6 +221,7 @@ def divert_late(stream: DataFrame, table: BatchTable, out: str, late_out: str, t
         on_time, late = late_split(batch, ts, mark.scalar())
         on_time.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         late.write.mode("overwrite").parquet(f"{late_out}/batch_id={batch_id}")
+        _compact(table, batch, batch_id)
 
     drain(stream, step, checkpoint)
 

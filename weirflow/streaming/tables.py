@@ -42,27 +42,43 @@ class BatchTable:
         return sorted(number for kind, number in self._folders(spark) if kind == "batch")
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        """Merge all batches up to and including ``upto`` into one folder."""
-        merged = self._rows(spark, upto + 1)
-        state = self.merge(merged)
+        """Merge all batches up to and including ``upto`` into one folder.
+
+        Folders that an earlier merge made needless are removed. Those of this merge stay until the next, for
+        readers that have begun with them.
+        """
+        folders = self._folders(spark)
+        if ("base", upto) in folders:
+            return
+        state = self.merge(self._rows(spark, upto + 1))
         keep = [c for c in state.columns if c != "batch_id"]
         state.select(*keep).write.mode("overwrite").parquet(f"{self.path}/base={upto}")
+        earlier = max((n for kind, n in folders if kind == "base" and n < upto), default=None)
+        if earlier is not None:
+            for kind, number in folders:
+                if number < earlier or (kind, number) == ("batch", earlier):
+                    path, files = self._file_system(spark)
+                    files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, f"{kind}={number}"), True)
 
     def _rows(self, spark: SparkSession, before: int | None) -> DataFrame:
         folders = [(k, n) for k, n in self._folders(spark) if before is None or n < before]
         base = max((n for kind, n in folders if kind == "base"), default=None)
         used = [(k, n) for k, n in folders if (k == "base" and n == base) or (k == "batch" and (base is None or n > base))]
+        # one listing and one scan per folder; compaction keeps them few
         frame = spark.createDataFrame([], f"{self.schema}, batch_id long")
         for kind, number in sorted(used, key=lambda f: f[1]):
             part = spark.read.schema(self.schema).parquet(f"{self.path}/{kind}={number}")
             frame = frame.unionByName(part.withColumn("batch_id", F.lit(number).cast("long")))
         return frame
 
+    def _file_system(self, spark: SparkSession):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
     def _folders(self, spark: SparkSession) -> list[tuple[str, int]]:
         """The complete folders: those whose write left its success mark."""
         jvm = spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        folder, files = self._file_system(spark)
         if not files.exists(folder):
             return []
         found = []
