@@ -31,12 +31,12 @@ ROUTED_SQL = "shard int, k long, th int, at binary, blob binary"
 FOUND_SQL = "k long, th int, at binary"
 
 
-def found_rows(k: np.ndarray, th: np.ndarray, row: np.ndarray, at: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """(k, th, positions) for each row that has any; ``row`` may be in any order."""
+def found_rows(k: np.ndarray, th: np.ndarray, row: np.ndarray, at: np.ndarray, *more: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(k, th, positions) for each row that has any, with what stands beside a position; ``row`` may be in any order."""
     if not len(row):
         return []
     order = np.lexsort((at, row))
-    row, at = row[order], at[order].astype(np.int32)
+    row, at = row[order], np.stack([x[order].astype(np.int32) for x in (at, *more)], axis=1)
     cuts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
     ends = np.append(cuts[1:], len(row))
     return [(int(k[row[a]]), int(th[row[a]]), at[a:b].tobytes()) for a, b in zip(cuts, ends)]
@@ -123,17 +123,17 @@ def repeated_starts(
     return answer(with_open.mapInArrow(mapped(extend), ROUTED_SQL), shards, repeated)
 
 
-def positions(cell) -> np.ndarray:
-    """All positions of a document from its list of packed arrays, in order, each once."""
-    parts = [np.frombuffer(b.as_buffer() if hasattr(b, "as_buffer") else b, dtype=np.int32) for b in cell]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.int32)
+def numbers(cell: pa.ListScalar) -> np.ndarray:
+    """The whole numbers of a document's packed arrays, one after the other."""
+    parts = [np.frombuffer(b.as_buffer(), dtype=np.int32) for b in cell.values]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
 
 
 def blob_rows(parts: list[tuple[int, tuple]], *shared: np.ndarray) -> list[tuple[int, bytes]]:
     return [(s, pack(*shared, *arrays)) for s, arrays in parts]
 
 
-def found_in(blobs: list[tuple], blob: np.ndarray, row: np.ndarray, at: np.ndarray) -> list[tuple[int, int, bytes]]:
+def found_in(blobs: list[tuple], blob: np.ndarray, row: np.ndarray, *at: np.ndarray) -> list[tuple[int, int, bytes]]:
     """``found_rows`` of each blob, which starts with the keys of its rows; ``blob`` must be in order."""
     ends = np.searchsorted(blob, np.arange(len(blobs) + 1))
-    return [x for b, i, j in zip(blobs, ends, ends[1:]) for x in found_rows(b[0], b[1], row[i:j], at[i:j])]
+    return [x for b, i, j in zip(blobs, ends, ends[1:]) for x in found_rows(b[0], b[1], row[i:j], *(a[i:j] for a in at))]

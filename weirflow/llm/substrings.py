@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.repeats import blob_rows, found_in, found_rows, keyed, positions, repeated_starts, split_by
+from weirflow.llm.repeats import blob_rows, found_in, found_rows, keyed, numbers, repeated_starts, split_by
 from weirflow.llm.texts import Words, column, longs, last_minimum, pieces, shards_for, utf8, word_runs
 
 SHARD_BYTES = 24_000_000
@@ -73,7 +73,7 @@ def _extend(piece, length: int, gram: int, shards: int):
     k, th = longs(piece, "k"), longs(piece, "th")
     is_open = np.zeros(len(a.words.start) + 1, dtype=bool)
     for row, cell in enumerate(column(piece, "at")):
-        is_open[a.words.at[row] + positions(cell.values)] = True
+        is_open[a.words.at[row] + np.unique(numbers(cell))] = True
     keep = is_open[a.anchor]
     starts, anchor = a.starts[keep], a.anchor[keep]
     row = a.words.row[starts]
@@ -119,7 +119,7 @@ def _cut(length: int):
                 counts, removed, kept = [], [], []
                 for text, cell in zip(column(piece, "text").cast(pa.large_binary()).to_pylist(), column(piece, "at")):
                     words = (text or b"").split()
-                    runs = spans(positions(cell.values), length) if cell.is_valid else []
+                    runs = spans(np.unique(numbers(cell)), length) if cell.is_valid else []
                     counts.append(len(words))
                     removed.append([{"start": a, "end": b} for a, b in runs])
                     for a, b in reversed(runs):

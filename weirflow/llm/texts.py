@@ -132,22 +132,18 @@ class Words:
         return byte_runs(data).hash(self.start, self.end)
 
 
-def last_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    """For each start, the position of the smallest of ``width`` values, the last one among equals."""
-    n = len(values) - width + 1
-    if n <= 0:
+def last_minimum(hashes: np.ndarray, width: int) -> np.ndarray:
+    """For each start, the position of the smallest of ``width`` hashes (by their upper half), the last one among equals."""
+    if len(hashes) < width:
         return np.zeros(0, dtype=np.int64)
-    best = values
-    where = np.arange(len(values))
+    low = np.uint64(2**32 - 1)
+    best = (hashes & ~low) | (low - np.arange(len(hashes), dtype=np.uint64))
     done = 1
     while done < width:
         step = min(done, width - done)
-        left, right = best[: len(best) - step], best[step:]
-        take = right <= left
-        best = np.where(take, right, left)
-        where = np.where(take, where[step:], where[: len(where) - step])
+        best = np.minimum(best[: len(best) - step], best[step:])
         done += step
-    return where[:n]
+    return (low - (best & low)).astype(np.int64)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
