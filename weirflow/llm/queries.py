@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirflow.llm import lines, substrings, suffixes
+from weirflow.llm import lines, mixing, substrings, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,48 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+SQL["op1_mix_sources"] = r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5(doc_id::VARCHAR) AS h
+  FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
+ranked AS (
+  SELECT *, [5.0, 2.0, 1.0][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT]::DOUBLE AS weight,
+    ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT AS turn
+  FROM totals),
+filled AS (
+  SELECT *, coalesce(sum(source_size) OVER before, 0)::DOUBLE * 2 AS given, count(*) OVER before AS n,
+    sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open
+  FROM ranked
+  WINDOW before AS (ORDER BY source_size / weight, turn, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+  SELECT arg_min((1.5 * (SELECT sum(size) FROM sizes)::DOUBLE - given) / open, n) FILTER (
+    source_size * 2.0 > weight * (1.5 * (SELECT sum(size) FROM sizes)::DOUBLE - given) / open) AS level
+  FROM filled),
+targets AS (SELECT *, least(source_size * 2.0::DOUBLE, weight * (SELECT level FROM level)) AS target FROM ranked),
+placed AS (
+  SELECT s.*, source_size, target, turn,
+    (sum(s.size) OVER (PARTITION BY s.source ORDER BY h, doc_id, s.size ROWS UNBOUNDED PRECEDING) - s.size)::DOUBLE AS start
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+counted AS (
+  SELECT *, (CASE WHEN start + size / 2.0 < target THEN 1 ELSE 0 END
+    + CASE WHEN start + source_size + size / 2.0 < target THEN 1 ELSE 0 END)::BIGINT AS copies,
+    least(start / target, 1.0::DOUBLE) AS share,
+    CASE turn WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS w0,
+    CASE turn WHEN 0 THEN -2.0::DOUBLE WHEN 1 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE END AS slope
+  FROM placed)
+SELECT doc_id, size, source_size, target, size * copies AS taken, copies,
+  CASE WHEN copies > 0 THEN CASE WHEN share = 0 THEN 0.0 ELSE share * 2 / (sqrt(w0 * w0 + share * slope) + w0) END END AS position
+FROM counted
+"""
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.drop_repeated_substrings(table(spark, sf_dir, "documents")))
