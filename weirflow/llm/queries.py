@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirflow.llm import lines, mixing, substrings, suffixes
+from weirflow.llm import lines, mixing, neardup, substrings, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -114,3 +114,29 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
+SQL["op8_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(words[pos:pos + 4], ' ')) AS gram
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS pos FROM w WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE common.n::DOUBLE >= 0.8::DOUBLE * (x.n + y.n - common.n)),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+heads AS (SELECT a AS doc_id, min(b) AS head FROM reach GROUP BY a),
+counts AS (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(head, doc_id)) AS class_id, coalesce(n, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN heads USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
