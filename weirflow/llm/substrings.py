@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.repeats import blob_rows, found_in, found_rows, keyed, numbers, repeated_starts, split_by
+from weirflow.llm.repeats import blob_rows, found_in, found_rows, id_of, keyed, numbers, repeated_starts, split_by
 from weirflow.llm.texts import Words, column, longs, last_minimum, pieces, shards_for, utf8, word_runs
 
 SHARD_BYTES = 24_000_000
@@ -153,7 +153,7 @@ def drop_repeated_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str
         lambda piece: _extend(piece, length, gram, shards),
         _repeated,
     )
-    return documents.join(starts, ["k", "th"], "left").select("doc_id", "text", "at").mapInArrow(_cut(length), OUT_SQL)
+    return documents.join(starts, ["k", "th"], "left").select(id_of("k"), "text", "at").mapInArrow(_cut(length), OUT_SQL)
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.repeats import blob_rows, found_in, found_rows, keyed, numbers, repeated_starts, split_by
+from weirflow.llm.repeats import blob_rows, found_in, found_rows, gather, id_of, joined, keyed, numbers, repeated_starts, split_by
 from weirflow.llm.texts import byte_runs, column, last_minimum, longs, pack, pieces, shards_for, utf8
 
 SHARD_BYTES = 24_000_000
@@ -81,12 +81,6 @@ def _open_seeds(blobs):
     return found_in(blobs, blob[hit], row[hit], at[hit])
 
 
-def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of the spans, one span after the other."""
-    ends = np.cumsum(size)
-    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)]
-
-
 def _extend(piece, length: int, trigger: int, shards: int):
     """The surroundings of open triggers. Those that are equal within the piece repeat as a whole, and one is sent."""
     p = _Parse(piece, length, trigger)
@@ -106,7 +100,7 @@ def _extend(piece, length: int, trigger: int, shards: int):
     arrays = (hashes[sent], row[sent].astype(np.int32), (low - base)[sent].astype(np.int32), (place - low)[sent].astype(np.int16), (high - low + 1)[sent].astype(np.int16), low[sent])
     blobs = []
     for s, (*rest, start) in split_by(shard, shards, *arrays):
-        blobs.append((s, pack(k, th.astype(np.int32), *rest, _gather(p.data, start, rest[-1].astype(np.int64) + length - 1))))
+        blobs.append((s, pack(k, th.astype(np.int32), *rest, gather(p.data, start, rest[-1].astype(np.int64) + length - 1))))
     return blobs, found
 
 
@@ -150,7 +144,7 @@ def _repeated(blobs, length: int, trigger: int, rows_at_once: int = 50_000):
     _, group, count = np.unique(hashes, return_inverse=True, return_counts=True)
     by_group = np.argsort(group, kind="stable")
     by_group = by_group[count[group[by_group]] > 1]
-    out = []
+    out = [found_in(blobs, *[blob[:0]] * 4)]
     while len(by_group):
         cut = min(rows_at_once, len(by_group))
         cut = int(np.searchsorted(group[by_group], group[by_group[cut - 1]], side="right"))
@@ -162,8 +156,8 @@ def _repeated(blobs, length: int, trigger: int, rows_at_once: int = 50_000):
         i, first = np.nonzero(turn == 1)
         _, last = np.nonzero(turn == -1)
         at = rows[i]
-        out += found_in(blobs, blob[at], row[at], low[at] + first, low[at] + last - 1)
-    return out
+        out.append(found_in(blobs, blob[at], row[at], low[at] + first, low[at] + last - 1))
+    return joined(out)
 
 
 def _classes(group, data, place, before, starts, length: int, trigger: int) -> np.ndarray:
@@ -240,7 +234,7 @@ def drop_repeated_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         lambda piece: _extend(piece, length, trigger, shards),
         lambda blobs: _repeated(blobs, length, trigger),
     )
-    return documents.join(starts, ["k", "th"], "left").select("doc_id", "text", "at").mapInArrow(_cut(length), OUT_SQL)
+    return documents.join(starts, ["k", "th"], "left").select(id_of("k"), "text", "at").mapInArrow(_cut(length), OUT_SQL)
 
 
 def digest(result: DataFrame) -> DataFrame:
