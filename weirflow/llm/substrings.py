@@ -29,8 +29,7 @@ class _Anchors:
         self.runs = word_runs(words.hashes(data))
         self.words = words
         n = len(words.start)
-        at = np.arange(max(n - gram + 1, 0))
-        self.hash = self.runs.hash(at, at + gram)
+        self.hash = self.runs.all(gram)
         starts = np.arange(max(n - length + 1, 0))
         self.starts = starts[words.row[: len(starts)] == words.row[length - 1 :]] if len(starts) else starts
         self.anchor = last_minimum(self.hash, length - gram + 1)[self.starts] if len(starts) else starts

@@ -37,9 +37,7 @@ class _Parse:
         self.data, self.offsets = utf8(column(piece, "text"))
         self.runs = byte_runs(self.data)
         sizes = np.diff(self.offsets)
-        n = len(self.data)
-        at = np.arange(max(n - trigger + 1, 0))
-        hashes = self.runs.hash(at, at + trigger)
+        hashes = self.runs.all(trigger)
         named = last_minimum(hashes, length - trigger + 1)
         ends = np.repeat(self.offsets[1:], sizes)[: len(named)]
         starts = np.flatnonzero(np.arange(len(named)) + length <= ends)

@@ -53,9 +53,12 @@ _BYTES, _WORDS = Powers(BYTE_BASE), Powers(WORD_BASE)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of whole numbers (the finishing step of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class Runs:
@@ -64,11 +67,22 @@ class Runs:
     def __init__(self, values: np.ndarray, powers: Powers):
         self.up, self.down = powers.upto(len(values) + 1)
         self.sums = np.zeros(len(values) + 1, dtype=np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * self.up[: len(values)], out=self.sums[1:])
+        terms = values.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= self.up[: len(values)]
+        np.cumsum(terms, out=self.sums[1:])
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
+    def all(self, width: int) -> np.ndarray:
+        """The hash of every run of ``width``."""
+        n = max(len(self.sums) - width, 0)
+        out = self.sums[width:] - self.sums[:n] if n else self.sums[:0].copy()
+        out *= self.down[:n]
+        out += np.uint64(width)
+        return mix(out)
+
 
 def byte_runs(data: np.ndarray) -> Runs:
     return Runs(data, _BYTES)
