@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirflow.llm import lines, mixing, neardup, substrings, suffixes
+from weirflow.llm import lines, mixing, neardup, substrings, suffixes, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +140,9 @@ counts AS (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a)
 SELECT doc_id, least(doc_id, coalesce(head, doc_id)) AS class_id, coalesce(n, 0)::BIGINT AS n_links
 FROM documents LEFT JOIN heads USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
+
+
+@query
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("k", "th")
