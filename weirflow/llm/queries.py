@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weirflow.llm import lines, mixing, neardup, substrings, suffixes, templates
+from weirflow.llm import lines, mixing, neardup, substrings, suffixes, templates, toxicity
+from weirflow.llm.logistic import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,3 +148,12 @@ FROM documents LEFT JOIN heads USING (doc_id) LEFT JOIN counts USING (doc_id)
 def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("k", "th")
+
+
+@query
+def op6_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, fold(F.col("doc_id"), 5) != 0)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(fold(F.col("row.doc_id"), 5) == 0, F.lit(False))
+    return scored.select("row.doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
