@@ -122,7 +122,7 @@ def _compared(signatures, band, i, j, least, pairs_at_once):
             part = slice(number * STEP, (number + 1) * STEP)
             equal = signatures[x, part] == signatures[y, part]
             matches += equal.sum(axis=1, dtype=np.int32)
-            met = equal.reshape(len(x), -1, ROWS).all(axis=2)
+            met = equal.reshape(len(x), STEP // ROWS, ROWS).all(axis=2)
             earlier = (met & (number * STEP // ROWS + np.arange(met.shape[1]) < band[x][:, None])).any(axis=1)
             stay = (matches >= need) & ~earlier
             x, y, matches = x[stay], y[stay], matches[stay]
@@ -170,7 +170,7 @@ def _rows_of(table: pa.Table):
 
 def _prune(least: list[int]):
     def work(batches):
-        for table, cell in _groups(batches, 20_000, 16_000_000):
+        for table, cell in _groups(batches, 20_000, 8_000_000):
             alive = np.zeros(table.num_rows, dtype=bool)
             for i, j in _survivors(*_rows_of(table), cell, least):
                 alive[i] = alive[j] = True
@@ -181,7 +181,7 @@ def _prune(least: list[int]):
 
 def _verify(n: int, threshold: float, least: list[int]):
     def work(batches):
-        for table, cell in _groups(batches, 5_000, 6_000_000):
+        for table, cell in _groups(batches, 5_000, 3_000_000):
             c, weight = table.column("c").to_numpy(), table.column("m").to_numpy()
             order = np.lexsort((c, cell))  # equal rows of one doc_id bring the text twice
             twice = np.concatenate(([False], (c[order][1:] == c[order][:-1]) & (cell[order][1:] == cell[order][:-1])))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: The smallest long: the key that stands for a doc_id of null. It is smaller than every real doc_id.
 NULL_ID = -(2**63)
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 2_000_000
 
 #: The white space that separates words, tab to carriage return and blank.
 SPACES = b" \t\n\x0b\x0c\r"
