@@ -5,12 +5,13 @@ compressed with the toxic dictionary than with the ordinary one speaks for toxic
 difference reaches each of some thresholds are turned into a probability by a calibration on labelled documents.
 
 A dictionary is raw content: words that set its class apart from the other (by the likelihood ratio of the documents that
-hold them), then a part common to both, the most frequent words, so that the two differ in nothing else. Words that few
-documents of the class hold are left out; they come from passages, not from the class.
+hold them), then a part common to both, the most frequent words, so that the two differ in nothing else. Copies and
+near copies in the sample are left out first, so that the words of a much copied document don't pass for those of its class.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -61,6 +62,19 @@ def _evidence(text: bytes, model: Model, ordinary, toxic, known: dict[bytes, int
     return np.array([*reach, np.log1p(len(words) / size)])
 
 
+def distinct(sample: list[tuple[bytes, int]], grams: int = 5, share: float = 0.3) -> list[tuple[bytes, int]]:
+    """The sample without texts of which more than ``share`` of the word n-grams stand in texts before."""
+    seen: set[int] = set()
+    out = []
+    for text, y in sample:
+        words = text.lower().split()
+        here = {zlib.crc32(b" ".join(words[i : i + grams])) for i in range(max(1, len(words) - grams + 1))}
+        if len(here & seen) <= share * len(here):
+            out.append((text, y))
+        seen |= here
+    return out
+
+
 def _content(chosen: list[bytes], common: list[bytes]) -> bytes:
     return b" ".join([*chosen, *common]) + b" "
 
@@ -76,8 +90,9 @@ def _ratio(a: np.ndarray, b: np.ndarray, n: int, m: int) -> np.ndarray:
     return 2 * (fitted(a, n, a / n) + fitted(b, m, b / m) - fitted(a, n, both) - fitted(b, m, both)) * np.sign(a / n - b / m)
 
 
-def train(sample: list[tuple[bytes, int]], common_words: int = 1500, least_ratio: float = 20.0, least_share: float = 0.05) -> Model:
+def train(sample: list[tuple[bytes, int]], common_words: int = 1500, least_ratio: float = 25.0) -> Model:
     """A model from (text, label) pairs. Without both labels every score is the share of label 1, or a half."""
+    sample = distinct(sample)
     holding = (Counter(), Counter())
     size = [0, 0]
     for text, y in sample:
@@ -90,7 +105,7 @@ def train(sample: list[tuple[bytes, int]], common_words: int = 1500, least_ratio
     words = sorted(set(holding[0]) | set(holding[1]))
     counts = [np.array([h[w] for w in words], dtype=float) for h in holding]
     ratio = _ratio(counts[1], counts[0], size[1], size[0])
-    chosen = [words[i] for i in np.argsort(-ratio, kind="stable") if ratio[i] >= least_ratio and counts[1][i] >= least_share * size[1]]
+    chosen = [words[i] for i in np.argsort(-ratio, kind="stable") if ratio[i] >= least_ratio]
     others = [words[i] for i in np.argsort(ratio, kind="stable")]
     room, plain = sum(len(w) + 1 for w in chosen), []
     for w in others:
