@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import lines, mixing, neardup, substrings, suffixes, templates, toxicity
+from weirflow.llm import lines, mixing, neardup, quality, substrings, suffixes, templates, toxicity
 from weirflow.llm.logistic import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,12 @@ def op6_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(fold(F.col("row.doc_id"), 5) == 0, F.lit(False))
     return scored.select("row.doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op4_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, fold(F.col("doc_id"), 4) != 2)
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(fold(F.col("row.doc_id"), 4) == 2, F.lit(False))
+    return scored.select("row.doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -90,8 +90,11 @@ def _ratio(a: np.ndarray, b: np.ndarray, n: int, m: int) -> np.ndarray:
     return 2 * (fitted(a, n, a / n) + fitted(b, m, b / m) - fitted(a, n, both) - fitted(b, m, both)) * np.sign(a / n - b / m)
 
 
-def train(sample: list[tuple[bytes, int]], common_words: int = 1500, least_ratio: float = 25.0) -> Model:
-    """A model from (text, label) pairs. Without both labels every score is the share of label 1, or a half."""
+def train(sample: list[tuple[bytes, int]], totals: dict[int, int], common_words: int = 1500, least_ratio: float = 25.0) -> Model:
+    """A model from (text, label) pairs; ``totals`` are the numbers of labels of each class that the sample stands for.
+
+    Without both labels every score is the share of label 1, or a half.
+    """
     sample = distinct(sample)
     holding = (Counter(), Counter())
     size = [0, 0]
@@ -119,13 +122,15 @@ def train(sample: list[tuple[bytes, int]], common_words: int = 1500, least_ratio
     ordinary, toxic = model.compressors()
     known: dict[bytes, int] = {}
     x = np.array([_evidence(text, model, ordinary, toxic, known) for text, _ in sample])
-    weights = fit_logistic(x, np.array([y for _, y in sample], dtype=float))
+    y = np.array([label for _, label in sample], dtype=float)
+    each = np.where(y > 0, totals[1] / size[1], totals[0] / size[0])
+    weights = fit_logistic(x, y, each * len(y) / each.sum())
     return Model(model.toxic, model.ordinary, carrier, tuple(weights))
 
 
 def fit(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", per_class: int = 1500, max_bytes: int = 12_000_000) -> Model:
     """A model from at most ``per_class`` labelled documents of each class, of ``max_bytes`` bytes in all (see ``labelled_sample``)."""
-    return train(labelled_sample(docs, labels, label, doc_id, text, use, per_class, max_bytes))
+    return train(*labelled_sample(docs, labels, label, doc_id, text, use, per_class, max_bytes))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
