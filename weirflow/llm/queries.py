@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import lines, mixing, neardup, quality, substrings, suffixes, templates, toxicity
+from weirflow.llm import lines, mixing, neardup, neighbours, quality, substrings, suffixes, templates, toxicity
 from weirflow.llm.logistic import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,9 @@ def op4_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(fold(F.col("row.doc_id"), 4) == 2, F.lit(False))
     return scored.select("row.doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op3_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
