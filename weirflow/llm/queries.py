@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import lines, mixing, neardup, neighbours, quality, substrings, suffixes, templates, toxicity
+from weirflow.llm import licences, lines, mixing, neardup, neighbours, quality, substrings, suffixes, templates, toxicity
 from weirflow.llm.logistic import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,9 @@ def op4_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.fit(docs)).drop("notice")
