@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weirflow.llm.texts import key_of
 from weirflow.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -92,13 +93,14 @@ def mix(
     share: float = 1.5,
     cap: float = 2.0,
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, source_size, target, taken, copies and position.
+    """Per row of ``docs``: k and th (the row's key), doc_id, size, source_size, target, taken, copies, position and positions.
 
     ``size`` is the number of words. The sources in order of their names (code points, null last) get ``weights`` and
     ``schedules`` in turn, and share ``share`` of all words; see ``targets`` for the cap. A source's documents stand in the
     order of a hash of their doc_id, once for each time the source is read. A copy is taken if half of it or more lies
     before the target; ``taken`` counts the words of the ``copies`` taken, at most ``cap`` (rounded up) of each document, and
-    ``position`` is the training time of the first word of the first copy (null if none is taken). Rows come sorted by position.
+    ``positions`` are the training times of the first words of the copies, and ``position`` is the first (null if none is taken). Rows
+    come sorted by position.
 
     Null and empty texts have size 0; they are taken once if their place lies before the target, with no words. Null sources are one source.
     Rows of one doc_id are rows of their own and stand side by side; equal rows take equal or neighbouring places. An empty
@@ -107,6 +109,7 @@ def mix(
     spark = docs.sparkSession
     digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
     slim = docs.select(
+        *key_of(docs, doc_id, text),
         F.col(doc_id).cast("long").alias("doc_id"),
         word_count(F.col(text)).alias("size"),
         F.col(source).cast("string").alias("source"),
@@ -141,15 +144,23 @@ def mix(
         middle = F.col("start") + F.col("source_size") * float(reading) + F.col("size") / 2
         copies = copies + F.when(middle < F.col("target"), 1).otherwise(0)
     placed = placed.withColumn("copies", copies.cast("long"))
-    place = F.lit(None).cast("double")
-    for i, schedule in enumerate(schedules):
-        place = F.when(F.col("turn") % len(schedules) == i, time_of(F.least(F.col("start") / F.col("target"), F.lit(1.0)), schedule)).otherwise(place)
+    times = []
+    for reading in range(math.ceil(cap)):
+        share = F.least((F.col("start") + F.col("source_size") * float(reading)) / F.col("target"), F.lit(1.0))
+        time = F.lit(None).cast("double")
+        for i, schedule in enumerate(schedules):
+            time = F.when(F.col("turn") % len(schedules) == i, time_of(share, schedule)).otherwise(time)
+        times.append(time)
+    placed = placed.withColumn("positions", F.slice(F.array(*times), F.lit(1), F.col("copies").cast("int")))
     return placed.select(
+        "k",
+        "th",
         "doc_id",
         "size",
         "source_size",
         "target",
         (F.col("size") * F.col("copies")).alias("taken"),
         "copies",
-        F.when(F.col("copies") > 0, place).alias("position"),
+        F.get("positions", F.lit(0)).alias("position"),
+        "positions",
     ).orderBy(F.col("position").asc_nulls_last(), "doc_id")

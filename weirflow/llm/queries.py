@@ -25,7 +25,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @query
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("k", "th", "positions")
 
 
 SQL["op1_mix_sources"] = r"""
