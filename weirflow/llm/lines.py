@@ -3,7 +3,7 @@
 A run is a table of (line hash, number of documents, keeper), bucketed and sorted by the hash. A new batch of documents is
 folded to one such table, merge-anti-joined with the runs, which drops lines that are settled and whose keeper the batch
 cannot change, and added as a run of level 0. When a level holds ``fanout`` runs they are merged into one of the next level.
-All runs share their buckets, so joins and merges need no shuffle.
+All runs share their buckets, so a batch that is dealt the same way joins them in place.
 """
 
 from __future__ import annotations
@@ -72,11 +72,11 @@ class LineRuns:
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch of (h1, h2, k), one row for each line hash of a document."""
-        own = self._write(lines.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("k").alias("keeper")))
+        own = lines.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("k").alias("keeper"))
         for run in [r for level in self.levels for r in level]:
-            settled = run.where(F.col("n_docs") >= self.min_docs).select(*HASH, F.col("keeper").alias("settled"))
-            own = own.join(settled, (own.h1 == settled.h1) & (own.h2 == settled.h2) & (own.keeper <= settled.settled), "left_anti")
-        self._put(own, 0)
+            settled = run.where(F.col("n_docs") >= self.min_docs).select(*[F.col(c).alias(f"{c}_") for c in (*HASH, "keeper")])
+            own = own.join(settled, F.expr("h1 = h1_ AND h2 = h2_ AND keeper <= keeper_"), "left_anti")
+        self._put(self._write(own), 0)
 
     def _put(self, run: DataFrame, level: int) -> None:
         if len(self.levels) == level:
@@ -88,10 +88,16 @@ class LineRuns:
             self._put(merged, level + 1)
 
     def _merge(self, runs: list[DataFrame]) -> DataFrame:
+        """The runs merged bucket by bucket. A union is no way to do it: one of bucketed tables is not dealt as it claims to be."""
         both = runs[0]
         for run in runs[1:]:
-            both = both.unionByName(run)
-        return both.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+            other = run.select(*[F.col(c).alias(f"{c}_") for c in run.columns])
+            both = both.join(other, F.expr("h1 = h1_ AND h2 = h2_"), "full").select(
+                *[F.coalesce(c, f"{c}_").alias(c) for c in HASH],
+                (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n_docs_", F.lit(0))).alias("n_docs"),
+                F.greatest("keeper", "keeper_").alias("keeper"),
+            )
+        return both
 
     def settled(self) -> DataFrame:
         """(h1, h2, keeper) of the lines found in ``min_docs`` documents or more."""

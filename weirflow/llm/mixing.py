@@ -146,7 +146,8 @@ def mix(
     placed = placed.withColumn("copies", copies.cast("long"))
     times = []
     for reading in range(math.ceil(cap)):
-        share = F.least((F.col("start") + F.col("source_size") * float(reading)) / F.col("target"), F.lit(1.0))
+        share = (F.col("start") + F.col("source_size") * float(reading)) / F.col("target")
+        share = F.when(F.col("target") > 0, F.least(share, F.lit(1.0))).otherwise(0.0)
         time = F.lit(None).cast("double")
         for i, schedule in enumerate(schedules):
             time = F.when(F.col("turn") % len(schedules) == i, time_of(share, schedule)).otherwise(time)

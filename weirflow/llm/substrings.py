@@ -39,7 +39,7 @@ class _Anchors:
 
 
 def _seeds(piece, length: int, gram: int, shards: int):
-    """Every anchor once for each piece; those that two documents of the piece hold are open at once."""
+    """The anchors of a piece; those that two of its documents hold are open at once, and one of their places is sent."""
     a = _Anchors(piece, length, gram)
     k, th = longs(piece, "k"), longs(piece, "th")
     seed = a.seeds()
@@ -52,7 +52,8 @@ def _seeds(piece, length: int, gram: int, shards: int):
     open_group[group[row[order] != row[firsts][group]]] = True
     local = order[open_group[group]] if len(seed) else order
     found = found_rows(k, th, row[local], seed[local] - a.words.at[row[local]])
-    sent = np.sort(firsts)
+    # a seed that one document holds several times is sent with all its places, since another piece may open it
+    sent = np.sort(np.concatenate((firsts[open_group], order[~open_group[group]]))) if len(seed) else firsts
     parts = split_by((hashes[sent] % np.uint64(shards)).astype(np.int64), shards, hashes[sent], row[sent].astype(np.int32), (seed[sent] - a.words.at[row[sent]]).astype(np.int32))
     return blob_rows(parts, k, th.astype(np.int32)), found
 
@@ -61,8 +62,11 @@ def _open_seeds(blobs):
     """Places of hashes that come from two pieces or more."""
     blob = np.repeat(np.arange(len(blobs)), [len(b[2]) for b in blobs])
     hashes, row, at = (np.concatenate([b[i] for b in blobs]) for i in (2, 3, 4))
-    _, group, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    hit = count[group] > 1
+    order = np.lexsort((blob, hashes))
+    _, first, group = np.unique(hashes[order], return_index=True, return_inverse=True)
+    last = np.append(first[1:], len(order)) - 1
+    hit = np.zeros(len(order), dtype=bool)
+    hit[order] = (blob[order[first]] != blob[order[last]])[group]
     return found_in(blobs, blob[hit], row[hit], at[hit])
 
 

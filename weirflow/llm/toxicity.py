@@ -109,14 +109,15 @@ def train(sample: list[tuple[bytes, int]], totals: dict[int, int], common_words:
     counts = [np.array([h[w] for w in words], dtype=float) for h in holding]
     ratio = _ratio(counts[1], counts[0], size[1], size[0])
     chosen = [words[i] for i in np.argsort(-ratio, kind="stable") if ratio[i] >= least_ratio]
-    others = [words[i] for i in np.argsort(ratio, kind="stable")]
+    others = [words[i] for i in np.argsort(ratio, kind="stable") if ratio[i] < least_ratio]
     room, plain = sum(len(w) + 1 for w in chosen), []
     for w in others:
         if room <= 0:
             break
         plain.append(w)
         room -= len(w) + 1
-    common = [words[i] for i in np.argsort(-counts[0], kind="stable")[:common_words]][::-1]
+    usual = [i for i in np.argsort(-counts[0], kind="stable") if counts[0][i] > 0 and ratio[i] < least_ratio]
+    common = [words[i] for i in usual[:common_words]][::-1]
     carrier = b" ".join(common)[:40] + b" "
     model = Model(_content(chosen, common), _content(plain, common), carrier, ())
     ordinary, toxic = model.compressors()
