@@ -193,7 +193,7 @@ def test_predicates(spark):
 def test_fold_in_order(spark, rows):
     data = [("a", i, chr(97 + i)) for i in range(20)] + [("b", 1, "z")]
     frame = spark.createDataFrame(data, "k string, n long, v string").repartition(5)
-    out = udfs.fold_in_order(frame, ["k"], ["n"], "v", lambda a, b: a + b, F.shiftright("n", 2))
+    out = udfs.fold_in_order(frame, ["k"], ["n"], "v", "".join, F.shiftright("n", 2))
     assert rows(out) == [("a", "abcdefghijklmnopqrst"), ("b", "z")]
 
 

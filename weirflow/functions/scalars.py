@@ -22,8 +22,14 @@ def lenient_bool(value: str | Column) -> Column:
 
 
 def whole(value: str | Column) -> Column:
-    """The whole part of a number written as text, such as "1445416821000.0"."""
-    return _column(value).cast("double").cast("long")
+    """The whole part of a number written as text, such as "1445416821000.0"; null for other text, such as "None".
+
+    The digits before the point are read as they are, so numbers above 2**53 keep their value. Only exponents go through
+    a floating-point number.
+    """
+    text = F.trim(_column(value))
+    digits = F.regexp_extract(text, r"^([+-]?[0-9]+)(\.[0-9]*)?$", 1)
+    return F.coalesce(digits.try_cast("long"), F.when(digits == "", text.try_cast("double").try_cast("long")))
 
 
 def api_date_ms(value: str | Column) -> Column:

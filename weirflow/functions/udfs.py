@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
 
-from weirflow.operators.ordered import integral_block
-from weirflow.operators.sets import spread_small
+from weirflow.operators.ordered import range_blocks
 
 
 def register_scalar(spark: SparkSession, name: str, returns: str, function: Callable[..., pd.Series]) -> None:
@@ -48,7 +47,7 @@ def python_split(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFram
             out = batch[list(keep)].assign(word=batch[text].fillna("").str.split(" ")).explode("word")
             yield out[out["word"] != ""]
 
-    source = spread_small(df.select(*keep, text))
+    source = df.select(*keep, text)
     kept = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
     return source.mapInPandas(split, f"{kept}, word string" if kept else "word string")
 
@@ -58,31 +57,31 @@ def fold_in_order(
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
-    fold: Callable[[str, str], str],
+    fold: Callable[[pd.Series], str],
     block: Column | None = None,
 ) -> DataFrame:
     """A user aggregate ``init / add / result`` whose order matters: text is added up along ``order``.
 
     The values of a key are cut into pieces along the order, each piece is folded in Python, and the folded
-    pieces are folded again. ``fold`` must be associative with "" as its neutral value, as concatenation is.
+    pieces are folded again. ``fold`` takes a series of texts and must be associative with "" as its neutral value, as
+    concatenation is. Each key's result is one text, which grows with the key.
     Spark sorts the rows, and Python sees a run of equal keys as a stream, not as one group in memory.
     """
-    pieces = integral_block(order[0]) if block is None else block
 
     def runs(names: list[str]):
         def fold_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            held, total = None, ""
-            for batch in batches:
-                done = []
-                for *key, text in batch[[*names, "__value"]].itertuples(index=False, name=None):
-                    if key != held:
-                        if held is not None:
-                            done.append((*held, total))
-                        held, total = key, ""
-                    total = fold(total, text)
-                yield pd.DataFrame(done, columns=[*names, "__value"])
+            held = None
+            for batch in (b for b in batches if len(b)):
+                if held is not None:
+                    batch = pd.concat([held, batch], ignore_index=True)
+                keys = batch[names]
+                same = (keys == keys.shift()) | (keys.isna() & keys.shift().isna())
+                run = (~same.all(axis=1)).cumsum()
+                done = keys.groupby(run).head(1).assign(__value=batch["__value"].groupby(run).agg(fold).to_numpy())
+                held = done.tail(1)  # the run may go on in the next batch
+                yield done.head(-1)
             if held is not None:
-                yield pd.DataFrame([(*held, total)], columns=[*names, "__value"])
+                yield held
 
         return fold_runs
 
@@ -91,6 +90,10 @@ def fold_in_order(
         placed = rows.repartition(*names).sortWithinPartitions(*names, *by)
         return placed.select(*names, "__value").mapInPandas(runs(names), schema)
 
-    rows = df.select(*keys, pieces.alias("__piece"), *order, F.col(value).alias("__value"))
+    rows = df.select(*keys, *order, F.col(value).alias("__value"))
+    if block is None:
+        rows = range_blocks(rows, [*keys, *order], name="__piece")
+    else:
+        rows = df.select(*keys, block.alias("__piece"), *order, F.col(value).alias("__value"))
     parts = folded(rows, [*keys, "__piece"], order)
     return folded(parts, list(keys), ["__piece"]).withColumnRenamed("__value", "folded")

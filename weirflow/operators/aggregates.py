@@ -6,12 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from weirflow.operators.ordered import Fold, prefix, row_index
 
-STRING_BLOCK = 12  # texts that begin alike are ordered in one task
-
 
 def count_by(df: DataFrame, *keys: str | Column, name: str = "cnt") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -68,8 +65,6 @@ def chunked_lists(
     Nothing is left out: a key with many values gets many rows instead of one that grows without bound.
     ``value`` must be unique within a key.
     """
-    if block is None and df.schema[value].dataType == StringType():
-        block = F.left(F.col(value), F.lit(STRING_BLOCK))
     numbered = row_index(df.select(*keys, value), [value], keys, "__n", block)
     return (
         numbered.withColumn("chunk_no", F.expr(f"(__n - 1) div {chunk}"))
@@ -99,16 +94,6 @@ def reach(tweeters: DataFrame, followers: DataFrame, item: str, tweeter: str, fo
     return pairs.groupBy(item).agg(F.countDistinct(follower).alias("reach"))
 
 
-def three_digit_block(value: str) -> Column:
-    """Buckets of numbers by sign, magnitude and first three digits. They follow the order of the numbers."""
-    size = F.abs(F.col(value).cast("double"))
-    exponent = F.floor(F.log10(size)).cast("long")
-    digits = F.floor(size / F.pow(F.lit(10.0), exponent - 2)).cast("long")
-    # 400 shifts the smallest exponent of a double above zero
-    bucket = (exponent + 400) * 1000 + digits
-    return F.when(size == 0, F.lit(0)).when(F.col(value) > 0, bucket).otherwise(-bucket).cast("long")
-
-
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float], block: Column | None = None
 ) -> DataFrame:
@@ -119,7 +104,6 @@ def exact_percentiles(
     sides of a wanted rank are picked.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
-    block = three_digit_block(value) if block is None else block
     summed = prefix(counted, [value], {"__upto": Fold("sum", F.col("__c"))}, keys, block)
     sizes = counted.groupBy(*keys).agg(F.sum("__c").alias("__size"))
     ranked = summed.join(sizes, list(keys)) if keys else summed.withColumn("__size", sizes.scalar())
@@ -134,7 +118,8 @@ def exact_percentiles(
         v = F.col(value).cast("double")
         below, above = F.max(F.when(holds(low), v)), F.max(F.when(holds(high), v))
         share = F.max(at - low)
-        columns.append((below + (above - below) * share).alias(f"p{index}"))
+        # between equal values, infinite ones too, there is nothing to interpolate
+        columns.append(F.when(above == below, below).otherwise(below + (above - below) * share).alias(f"p{index}"))
     return ranked.groupBy(*keys).agg(*columns)
 
 

@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.operators.sets import spread_small
 
 # The tracked tags.
 TRACKED_TAGS = (
@@ -40,7 +39,7 @@ def tracked(df: DataFrame, column: str, tags: Sequence[str] = TRACKED_TAGS) -> D
 
 def words(df: DataFrame, text: str, name: str = "word", keep: Sequence[str] = ()) -> DataFrame:
     """One row per word: split at white space, lower case, no empty words."""
-    split = spread_small(df.select(*keep, text)).select(*keep, F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias(name))
+    split = df.select(*keep, F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias(name))
     return split.where(F.col(name) != "")
 
 
@@ -88,7 +87,12 @@ def sample_by_key(df: DataFrame, key: str, tenths: int = 1) -> DataFrame:
     """A repeatable sample without replacement: rows whose key hashes into the first ``tenths`` of ten parts."""
     if not 0 <= tenths <= 10:
         raise ValueError("tenths must lie between 0 and 10")
-    return df.where(F.pmod(F.xxhash64(key), F.lit(10)) < tenths)
+    return df.where(_slot(key, 10) < tenths)
+
+
+def _slot(key: str, slots: int) -> Column:
+    """A number below ``slots`` from the MD5 of the key as text, which other systems give too."""
+    return F.conv(F.left(F.md5(F.col(key).cast("string")), F.lit(8)), 16, 10).cast("long") % slots
 
 
 def random_sample(df: DataFrame, fraction: float = 0.1, seed: int = 7) -> DataFrame:
@@ -103,7 +107,7 @@ def split_by_key(df: DataFrame, key: str, weights: Sequence[int]) -> DataFrame:
     total = sum(weights)
     if total < 1 or min(weights) < 0:
         raise ValueError("weights must not be negative and must not all be 0")
-    slot = F.pmod(F.xxhash64(key), F.lit(total))
+    slot = _slot(key, total)
     part, upto = F.lit(None).cast("int"), total
     for index in reversed(range(len(weights))):
         part = F.when(slot < upto, F.lit(index)).otherwise(part)

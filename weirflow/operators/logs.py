@@ -34,14 +34,14 @@ def assemble_records(
 ) -> DataFrame:
     """Join continuation lines to the record they follow. Lines are ``(file, pos, value)``.
 
-    A line that begins with a time opens a record. The node is the first ``[myid:N]`` of the file, 0 if
-    there is none. Lines before the first record belong to none and go.
+    A line that begins with a time opens a record. The node is the first ``[myid:N]`` of the file that is not
+    0, or 0 if there is none. Lines before the first record belong to none and go.
     """
     opening = F.col("value").rlike(RECORD_START)
     marked = prefix(lines, order, {"record_no": Fold("sum", F.when(opening, 1).otherwise(0))}, [file], block)
     seen = F.regexp_extract("value", NODE_ID, 1)
     nodes = (
-        lines.where(F.col("value").rlike(NODE_ID))
+        lines.where(F.col("value").rlike(NODE_ID) & (seen.try_cast("int") != 0))
         .groupBy(file)
         .agg(F.min_by(seen, F.struct(*order)).cast("int").alias("node"))
     )

@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 from weirflow.operators.ordered import Fold, integral_block, prefix
 
 
-COUNT_FIRST_FROM = 4096
-
-
 def lossy_estimates(df: DataFrame, key: str, index: str, width: int, block_bits: int = 16) -> DataFrame:
     """The estimate after every row. ``index`` numbers all rows 1, 2, 3, …"""
     if width < 1:
@@ -53,19 +50,9 @@ def lossy_count(
         raise ValueError("the bucket width must be at least 1")
     total = df.agg(F.max(index).alias("n")) if total is None else total
     rows = df.withColumn("bucket", F.expr(f"({index} - 1) div {width} + 1"))
-    if width >= COUNT_FIRST_FROM:
-        # a frequent key has many rows in such a bucket: count them before the shuffle
-        along = "bucket"
-        counts = (
-            rows.withColumn("__block", integral_block(along, block_bits))
-            .groupBy(key, "__block", along)
-            .agg(F.count(F.lit(1)).alias("__c"))
-        )
-    else:
-        along = index
-        counts = rows.select(
-            key, index, "bucket", integral_block(along, block_bits).alias("__block"), F.lit(1).cast("long").alias("__c")
-        )
+    along = "bucket"
+    blocked = rows.withColumn("__block", F.shiftright(F.col(index), block_bits))
+    counts = blocked.groupBy(key, "__block", along).agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(key, "__block").orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
     lift = F.col("bucket") - 1 - F.coalesce(F.sum("__c").over(before), F.lit(0))
     blocks = (

@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import FeatureHasher, StringIndexer, VectorIndexer
+from pyspark.ml.feature import FeatureHasher, StringIndexer, VectorIndexer, VectorSlicer
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_DEPTH = 5
-FEATURE_BUCKETS = 1024
+FEATURE_BUCKETS = 1 << 18
 
 
 def indexers(columns: Sequence[str]) -> list[StringIndexer]:
@@ -22,21 +22,29 @@ def indexers(columns: Sequence[str]) -> list[StringIndexer]:
 
 def hashed_features(text: Sequence[str], numbers: Sequence[str], buckets: int = FEATURE_BUCKETS) -> FeatureHasher:
     return FeatureHasher(
-        inputCols=[*numbers, *[f"{c}_index" for c in text]], outputCol="features", numFeatures=buckets
+        inputCols=[*numbers, *[f"{c}_index" for c in text]], outputCol="hashed", numFeatures=buckets
     )
 
 
+def used_slots(text: Sequence[str], numbers: Sequence[str]) -> VectorSlicer:
+    """Only the slots of the hash space that the columns fall into; the others are 0 in every row and no tree splits on them."""
+    hasher = hashed_features(text, numbers)
+    ones = SparkSession.active().range(1).select(*[F.lit(1.0).alias(c) for c in hasher.getInputCols()])
+    slots = hasher.transform(ones).first().hashed.indices
+    return VectorSlicer(inputCol="hashed", outputCol="features", indices=[int(i) for i in slots])
+
+
 def tree_pipeline(text: Sequence[str], numbers: Sequence[str], label: str = "label", seed: int = 7) -> Pipeline:
     """Indexers, feature hashing and a decision tree."""
     tree = DecisionTreeRegressor(labelCol=label, featuresCol="features", maxDepth=MAX_DEPTH, seed=seed)
-    return Pipeline(stages=[*indexers(text), hashed_features(text, numbers), tree])
+    return Pipeline(stages=[*indexers(text), hashed_features(text, numbers), used_slots(text, numbers), tree])
 
 
 def forest_pipeline(
     text: Sequence[str], numbers: Sequence[str], label: str = "label", trees: int = 20, seed: int = 7
 ) -> Pipeline:
     forest = RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, seed=seed)
-    return Pipeline(stages=[*indexers(text), hashed_features(text, numbers), forest])
+    return Pipeline(stages=[*indexers(text), hashed_features(text, numbers), used_slots(text, numbers), forest])
 
 
 def vector_forest(features: str = "features", label: str = "label", categories: int = 4, seed: int = 7) -> Pipeline:

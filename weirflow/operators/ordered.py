@@ -1,12 +1,15 @@
 """Running values over an ordered stream of rows, without putting one key into one task.
 
 A plain ``Window.partitionBy(key).orderBy(seq)`` sorts all rows of a key in a single task, and
-without a key it sorts the whole table there. Here each key's rows are cut into blocks of
-neighbouring order values. The blocks are folded first (a partial aggregate, so only one row per
-key and block is shuffled), the folded blocks give every block its opening value, and the opening
-value enters the block as its first row. The row data is shuffled once, by key and block.
-
-What is ordered in one task is one row per block of a key: a 65 536th of the rows by default.
+without a key it sorts the whole table there. Here the rows are cut into blocks along (key, order).
+The blocks follow the rows: their borders are Spark's range borders, sampled from the rows
+themselves, so a key with many rows gets many blocks and rows of many small keys share one, whatever the
+type of the order and however its values lie. The blocks are folded first (a partial aggregate, so
+only one row per key and block is shuffled), the folded blocks give every block its opening value,
+and the opening value enters the block as its first row.
+
+There are as many blocks as ``spark.sql.shuffle.partitions``; adaptive execution joins small ones.
+An order of known density can bring its own blocks, which saves the range shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.session import shared_dir
+from weirflow.session import scratch_path
 
 BLOCK_BITS = 16
 _BLOCK = "__block"
@@ -56,15 +59,16 @@ def integral_block(order: str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col(order).cast("long"), bits)
 
 
-def range_blocks(df: DataFrame, order: Sequence[str], blocks: int, name: str = "block") -> DataFrame:
-    """Blocks of about equal size for any order columns, ties included through later columns.
+def range_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None, name: str = "block") -> DataFrame:
+    """Blocks of about equal numbers of rows along any columns.
 
-    The range partitioning is sampled, so it is written out before it is used as a block number:
-    a recomputed partition would otherwise be free to end elsewhere.
+    The borders are sampled, so the blocks are written out with the rows: a partition that is computed
+    anew would otherwise be free to end elsewhere.
     """
-    shared_dir(df.sparkSession)
-    frozen = df.repartitionByRange(blocks, *order).checkpoint()
-    return frozen.withColumn(name, F.spark_partition_id())
+    placed = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
+    path = scratch_path(df.sparkSession, "blocks")
+    placed.withColumn(name, F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def prefix(
@@ -77,12 +81,12 @@ def prefix(
 ) -> DataFrame:
     """Add running values of ``folds`` for each key. ``order`` must be unique within a key.
 
-    ``block`` must not decrease along the order. It defaults to ranges of the first order column.
+    ``block`` must not decrease along the order of a key. It defaults to ranges of rows.
     With ``inclusive=False`` a row sees only the rows before it.
     """
-    block = integral_block(order[0]) if block is None else block
     held = {f"__{name}": fold.value for name, fold in folds.items()}
-    rows = df.withColumns({**held, _BLOCK: block})
+    rows = df.withColumns(held)
+    rows = range_blocks(rows, [*keys, *order], name=_BLOCK) if block is None else rows.withColumn(_BLOCK, block)
 
     totals = rows.groupBy(*keys, _BLOCK).agg(
         *[fold.total(f"__{name}", order).alias(f"__{name}") for name, fold in folds.items()]

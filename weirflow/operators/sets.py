@@ -31,20 +31,3 @@ def spread(df: DataFrame, how: str, n: int, keys: Sequence[str] = (), salts: int
     if how == "global":
         return df.coalesce(1)
     raise ValueError(f"unknown way to spread rows: {how!r}")
-
-
-SPLIT_BYTES = 128 << 20
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a small table evenly over the cores before costly row work.
-
-    A small file is one row group and so one task, however long its texts are. A table with a split per
-    core or more is left alone, since moving it would cost more than it gains; the size is the plan's own
-    estimate.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * SPLIT_BYTES else df

@@ -104,13 +104,13 @@ def links_parse(t):
 
 
 @query(
-    """SELECT 'u' || user_id AS screen_name, event_type AS hashtag, epoch_us(ts) // 1000 AS ts_ms,
+    """SELECT 'u' || user_id AS screen_name, event_type AS hashtag, CASE WHEN event_id % 3 > 0 THEN 9007199254740993 + event_id END AS ts_ms,
       1 AS quote_count, 2 AS reply_count, 3 AS retweet_count, CAST(user_id AS INTEGER) AS favorite_count,
       true AS favorited, false AS retweeted, 'low' AS filter_level FROM events"""
 )
 def pair_text_parse(t):
     fields = F.concat_ws(
-        " ", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit("1 2 3"),
+        " ", "event_type", F.when(F.col("event_id") % 3 > 0, (F.col("event_id") + 9007199254740993).cast("string")).otherwise("None"), F.lit("1 2 3"),
         F.col("user_id").cast("string"), F.lit("True None low"),
     )
     stored = F.concat(F.lit("(u"), F.col("user_id").cast("string"), F.lit(","), fields, F.lit(")"))

@@ -35,15 +35,15 @@ def log_merge(t):
 @query(
     f"""WITH e AS (SELECT event_id, CAST(user_id AS VARCHAR) AS file, epoch_us(ts) // 1000 AS ts_ms, event_type, {K} AS k,
         strftime(ts, '%Y-%m-%d %H:%M:%S') || ',' || lpad(CAST(epoch_us(ts) // 1000 % 1000 AS VARCHAR), 3, '0')
-          || ' [myid:' || {K} || '] - ' || event_type AS head FROM events)
+          || ' [myid:' || {K} % 3 || '] - ' || event_type AS head FROM events)
     SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY event_id) AS BIGINT) AS record_no, ts_ms,
-      CAST(first_value(k) OVER (PARTITION BY file ORDER BY event_id) AS INTEGER) AS node,
+      CAST(coalesce(arg_min(k % 3, event_id) FILTER (k % 3 <> 0) OVER (PARTITION BY file), 0) AS INTEGER) AS node,
       CASE WHEN event_type = 'error' THEN head || chr(10) || 'java.io.IOException: ' || k || chr(10) || '  at ' || event_id
         ELSE head END AS log_text FROM e"""
 )
 def log_records(t):
     head = F.concat(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" [myid:"), _k().cast("string"), F.lit("] - "), "event_type"
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" [myid:"), (_k() % 3).cast("string"), F.lit("] - "), "event_type"
     )
     trace = F.array(
         F.concat(F.lit("java.io.IOException: "), _k().cast("string")),

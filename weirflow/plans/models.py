@@ -40,7 +40,7 @@ def tree_predictions(t):
 
 @query()
 def forest_predictions(t):
-    return _predictions(t, models.forest_pipeline(TEXT, NUMBERS, trees=5))
+    return _predictions(t, models.forest_pipeline(TEXT, NUMBERS))
 
 
 @query()

@@ -265,12 +265,19 @@ def topk_totals(t):
     return t.orders.groupBy("o_custkey").agg(exact).orderBy(F.desc("total"), "o_custkey").limit(50)
 
 
-@query()
+def _slot_sql(key: str, slots: int) -> str:
+    return f"CAST('0x' || left(md5(CAST({key} AS VARCHAR)), 8) AS BIGINT) % {slots}"
+
+
+@query(f"SELECT o_orderkey, o_custkey FROM orders WHERE {_slot_sql('o_orderkey', 10)} < 1")
 def sample_tenth(t):
     return filters.sample_by_key(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey")
 
 
-@query()
+@query(
+    f"""SELECT CAST(CASE WHEN {_slot_sql('o_orderkey', 10)} < 7 THEN 0 ELSE 1 END AS INTEGER) AS part, count(*) AS cnt
+    FROM orders GROUP BY 1"""
+)
 def split_counts(t):
     parts = filters.split_by_key(t.orders.select("o_orderkey"), "o_orderkey", [7, 3])
     return parts.groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
@@ -291,7 +298,7 @@ def udaf_concat(t):
     piece = F.concat("l_returnflag", F.col("l_partkey").cast("string"))
     rows = t.lineitem.withColumn("piece", piece)
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    return fold_in_order(rows, ["l_orderkey"], order, "piece", lambda a, b: a + b, F.col("l_linenumber"))
+    return fold_in_order(rows, ["l_orderkey"], order, "piece", "".join)
 
 
 # --- SQL ----------------------------------------------------------------------------------

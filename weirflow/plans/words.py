@@ -9,7 +9,6 @@ from weirflow.functions.udfs import SplitWords, exclaim, register_scalar, regist
 from weirflow.operators import aggregates as agg
 from weirflow.operators import filters, lossy, windows
 from weirflow.operators.ordered import Fold, prefix
-from weirflow.operators.sets import spread_small
 from weirflow.plans.registry import Tables, query
 
 WORDS = r"""words AS (
@@ -88,7 +87,7 @@ SPACES = """SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split(text,
 @query(SPACES)
 def udtf_split(t):
     register_table_function(t.spark, "split_words", SplitWords)
-    spread_small(t.documents.select("text")).createOrReplaceTempView("weirflow_documents")
+    t.documents.select("text").createOrReplaceTempView("weirflow_documents")
     return t.spark.sql("SELECT word, count(*) AS cnt FROM weirflow_documents, LATERAL split_words(text) GROUP BY word")
 
 
@@ -119,7 +118,7 @@ def _indexed_words(t: Tables):
     of their text plus their position.
     """
     kept = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
-    texts = spread_small(t.documents.select("doc_id", "text"))
+    texts = t.documents.select("doc_id", "text")
     sizes = texts.select("doc_id", F.size(kept).cast("long").alias("n_words"))
     upto = prefix(sizes, ["doc_id"], {"upto": Fold("sum", F.col("n_words"))})
     opening = upto.select("doc_id", (F.col("upto") - F.col("n_words")).alias("opening"))

@@ -85,11 +85,10 @@ def with_time_partition(df: DataFrame, ts: str, pattern: str = "yyyy/MM/dd", nam
 
 def write_table(df: DataFrame, table: str, by: Sequence[str], mode: str = "append") -> None:
     """A catalog table whose partitions appear as they are needed; overwriting replaces only those written."""
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if df.sparkSession.catalog.tableExists(table):
-        df.select(*df.sparkSession.table(table).columns).write.mode(mode).insertInto(table)
+        df.select(*df.sparkSession.table(table).columns).write.mode(mode).option("partitionOverwriteMode", "dynamic").insertInto(table)
     else:
-        df.write.partitionBy(*by).saveAsTable(table)
+        df.write.mode(mode).partitionBy(*by).saveAsTable(table)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None, batch: int = 1000) -> None:

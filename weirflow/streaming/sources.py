@@ -24,6 +24,15 @@ def table_stream(
     return reader.parquet(folder)
 
 
+def without_suffix(suffix: str) -> str:
+    """A glob of the names that don't end in ``suffix``: one alternative for each place where a name first differs from it.
+
+    Seen from its end, a name keeps some of the suffix and then has another character, or is no longer than that.
+    """
+    ends = [suffix[i:] for i in range(1, len(suffix) + 1)]
+    return "{" + ",".join([f"*[!{suffix[i]}]{end}" for i, end in enumerate(ends)] + [end for end in ends if end]) + "}"
+
+
 def dropped_files(
     spark: SparkSession,
     path: str,
@@ -34,7 +43,7 @@ def dropped_files(
     """Lines of files dropped into a folder. Files with the ignored suffix are left, finished files are
     moved to the archive. A writer must move a file in when it is complete.
     """
-    reader = spark.readStream.option("pathGlobFilter", f"*[!{ignore_suffix[-1]}]")
+    reader = spark.readStream.option("pathGlobFilter", without_suffix(ignore_suffix))
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_trigger:
