@@ -113,3 +113,9 @@ def test_session_span(spark, rows):
     txns = spark.createDataFrame([(1, 5, "createSession"), (1, 9, "setData"), (1, 12, "closeSession"), (2, 7, "create")], "client long, ts long, op string")
     spans = logs.session_spans(txns, "client", "ts", "op")
     assert rows(spans) == [(1, 5, 12, 5, 12, 3), (2, 7, 7, None, None, 1)]
+
+
+def test_node_zero_does_not_end_the_search(spark):
+    lines = [("f", 1, "2024-01-01 00:00:00,000 [myid:0] a"), ("f", 2, "2024-01-01 00:00:01,000 [myid:3] b"), ("g", 1, "2024-01-01 00:00:00,000 [myid:0] c")]
+    records = logs.assemble_records(spark.createDataFrame(lines, "file string, pos long, value string"))
+    assert {(r.file, r.record_no): r.node for r in records.collect()} == {("f", 1): 3, ("f", 2): 3, ("g", 1): 0}

@@ -122,3 +122,24 @@ def test_exact_percentiles(spark):
     for r in out.collect():
         want = np.percentile(groups[r.k], [50, 99, 99.9, 0, 100])
         assert [r.p0, r.p1, r.p2, r.p3, r.p4] == pytest.approx(list(want))
+
+
+@pytest.mark.parametrize(
+    "order",
+    [
+        "concat('https://www.example.org/', id)",
+        "1700000000000 + id",
+        "xxhash64(id)",
+        "id / 100000",
+        "concat('user:', lpad(id, 9, '0'))",
+    ],
+)
+def test_blocks_follow_the_rows(spark, order):
+    """A key with a third of the rows is cut, whatever the order values look like, and no block is far above the mean."""
+    frame = spark.range(12000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", f"{order} AS o")
+    sizes = [r["count"] for r in ordered.range_blocks(frame, ["k", "o"], 12).groupBy("block").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 2 * 12000 / 12
+    numbered = ordered.row_index(frame, ["o"], ["k"])
+    want = frame.groupBy("k").count()
+    got = numbered.groupBy("k").agg({"row_no": "max"}).withColumnRenamed("max(row_no)", "count")
+    assert want.exceptAll(got.select("k", "count")).count() == 0

@@ -112,3 +112,12 @@ def test_scalars(spark):
     assert tuple(row) == (
         1445416821000, 1445416821000, False, True, 0xDEADBEEF, "deadbeef", "name", 0, 172_800_000
     )
+
+
+def test_whole_numbers_keep_their_digits(spark):
+    from weirflow.functions.scalars import whole
+
+    texts = ["9007199254740993", "1445416821000.0", "-7.9", "None", "", None, "1e3", " 12 ", "99999999999999999999", "x1"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.n for r in frame.orderBy("i").select(whole("t").alias("n")).collect()]
+    assert got == [9007199254740993, 1445416821000, -7, None, None, None, 1000, 12, None, None]

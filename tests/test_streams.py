@@ -151,11 +151,12 @@ def test_lossy_counting_keeps_its_bound(spark, tmp_path):
     rng = random.Random(9)
     table = st.BatchTable(f"{tmp_path}/t", "tag string, f long, delta long, seen long", lambda df: df)
     seen, width = [], 20
-    for size in (150, 7, 0, 300, 90):
+    for batch_id, size in enumerate((150, 7, 0, 300, 90)):
         tags = [rng.choice(["hot"] * 4 + [f"r{rng.randrange(80)}"]) for _ in range(size)]
         seen += tags
         batch = spark.createDataFrame([(t,) for t in tags], "tag string")
-        jobs.lossy_step(table, "tag", width)(batch, len(table.batches(spark)))
+        jobs.lossy_step(table, "tag", width)(batch, batch_id)
+    assert table.batches(spark) == [3, 4]
     true, found = Counter(seen), {r.tag: r for r in jobs.lossy_result(table, spark, "tag").collect()}
     for tag, r in found.items():
         assert r.f <= true[tag] <= r.f + r.delta
@@ -237,3 +238,31 @@ def test_a_changed_block_list_takes_effect(spark, tmp_path, rows):
         blocked.append("a")
     out = spark.read.parquet(f"{tmp_path}/out")
     assert rows(out, "sentence") == [("a",), ("b",), ("b",)]
+
+
+def test_names_that_share_letters_with_the_suffix(spark, tmp_path):
+    from weirflow.streaming.sources import dropped_files
+
+    (tmp_path / "in").mkdir()
+    for name in ("table", "june.one", "e", "ore", "x.more", "b.ignore", "a.txt", "c.json", "ignore"):
+        (tmp_path / "in" / name).write_text(f"{name}\n")
+    jobs.run_until_empty(dropped_files(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp")
+    found = {r.value for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert found == {"table", "june.one", "e", "ore", "x.more", "a.txt", "c.json", "ignore"}
+
+
+def test_a_second_row_of_a_side_is_an_error(spark, tmp_path):
+    table = st.BatchTable(f"{tmp_path}/t", "id long, side string, value string", lambda df: df.select("id", "side", "value"))
+    rows = spark.createDataFrame([(1, "a", "x"), (1, "a", "y")], "id long, side string, value string")
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    with pytest.raises(Exception, match="a second row of a"):
+        jobs.join_sides(stream, table, f"{tmp_path}/out", "id", "side", ["a", "b"], "value", f"{tmp_path}/cp")
+
+
+def test_state_is_read_for_the_keys_of_the_batch(spark, tmp_path):
+    table = st.BatchTable(f"{tmp_path}/t", "k long, n long", st.sum_by(["k"], ["n"]))
+    table.write(spark.range(1000).selectExpr("id AS k", "1L AS n"), 0)
+    ten = spark.range(10).selectExpr("id AS k")
+    state = table.read(spark, only=ten)
+    assert state.count() == 10 and "LeftSemi" in state._jdf.queryExecution().toString()

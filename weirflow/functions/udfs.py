@@ -25,7 +25,7 @@ def exclaim(values: pd.Series) -> pd.Series:
     return values + "!!!"
 
 
-@udtf(returnType="word: string")
+@udtf(returnType="word: string", useArrow=True)
 class SplitWords:
     """One row per word of a sentence."""
 

@@ -34,6 +34,14 @@ class Anchors:
 
         return cls(int(datetime.fromisoformat(first).replace(tzinfo=UTC).timestamp()) * 1_000_000, count)
 
+    @classmethod
+    def covering(cls, uses: DataFrame, ts: str = "ts") -> Anchors:
+        """Every midnight after the first use up to the one after the last, so that each use is in some label."""
+        bounds = uses.agg(*[F.floor(micros(f(ts)) / F.lit(DAY)).cast("long") for f in (F.min, F.max)]).first()
+        if bounds[0] is None:
+            return cls(0, 0)
+        return cls((bounds[0] + 1) * DAY, bounds[1] - bounds[0] + 1)
+
     def time(self, number: Column) -> Column:
         return from_micros(F.lit(self.first) + number * F.lit(DAY))
 

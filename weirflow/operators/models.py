@@ -55,7 +55,7 @@ def vector_forest(features: str = "features", label: str = "label", categories:
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Predictions, and predictions rounded to whole uses. Works on streams."""
-    return model.transform(rows).withColumn("rounded", F.round("prediction"))
+    return model.transform(rows).drop("hashed").withColumn("rounded", F.round("prediction"))
 
 
 def score_into_streams(model: PipelineModel, rows: DataFrame, stream: Column) -> DataFrame:

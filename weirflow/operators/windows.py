@@ -161,14 +161,25 @@ def rolling_count(df: DataFrame, ts: str, obj: str, length: int, emit: int) -> D
     count to the ``length / emit`` windows it lies in and 0 to the one after, so a window that only
     holds that 0 is the closing row. ``window_seconds`` is shorter than ``length`` at the start.
     """
+    counted = pane_counts(df, ts, obj, emit)
+    return rolling_from_panes(counted, obj, length, emit)
+
+
+def pane_counts(df: DataFrame, ts: str, obj: str, emit: int) -> DataFrame:
+    """(obj, pane, n): the rows of each object in each ``emit`` seconds. Counts of several batches add up."""
+    panes = _panes(df, ts, emit, [F.count(F.lit(1)).alias("n")], [obj])
+    return panes.withColumnRenamed("__pane", "pane")
+
+
+def rolling_from_panes(panes: DataFrame, obj: str, length: int, emit: int) -> DataFrame:
+    """``rolling_count`` from the counts of panes."""
     slots = length // _positive(emit)
     if slots < 2:
         raise ValueError("the window must hold at least two slots")
-    counted = _panes(df, ts, emit, [F.count(F.lit(1)).alias("__n")], [obj])
-    first = df.agg(floor_div(micros(F.min(ts)), emit * 1_000_000).alias("first"))
-    ends = counted.withColumn("__end", F.explode(F.sequence(F.col("__pane") + 1, F.col("__pane") + slots + 1)))
-    inside = F.col("__end") <= F.col("__pane") + slots
-    emitted = ends.groupBy(obj, "__end").agg(F.sum(F.when(inside, F.col("__n")).otherwise(0)).alias("cnt"))
+    first = panes.agg(F.min("pane").alias("first"))
+    ends = panes.withColumn("__end", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + slots + 1)))
+    inside = F.col("__end") <= F.col("pane") + slots
+    emitted = ends.groupBy(obj, "__end").agg(F.sum(F.when(inside, F.col("n")).otherwise(0)).alias("cnt"))
     return emitted.select(
         F.col(obj).alias("obj"),
         "cnt",

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from weirflow.operators.filters import observed
 from weirflow.operators.joins import update_fields
 from weirflow.plans.registry import query
 from weirflow.session import scratch_path
 from weirflow.sources import sinks
-from weirflow.sources.readers import decode_topic_payload, parse_pairs, text_lines
+from weirflow.sources.readers import decode_topic_payload, libsvm, numbered_lines, parse_pairs, text_lines
 
 
 @query(
@@ -105,3 +109,71 @@ def text_file_roundtrip(t):
     sinks.write_text(t.customer, path, ["c_custkey", "c_mktsegment"])
     pairs = parse_pairs(text_lines(t.spark, f"{path}/part-*"), [("c_mktsegment", "string")], "c_custkey")
     return pairs.withColumn("c_custkey", pairs["c_custkey"].cast("long"))
+
+
+@query("SELECT c_custkey, c_mktsegment, c_custkey % 3 AS part FROM customer")
+def recursive_text(t):
+    """Text files of several folders, read by one name."""
+    path = scratch_path(t.spark, "folders")
+    for part in range(3):
+        sinks.write_text(t.customer.where(F.col("c_custkey") % 3 == part), f"{path}/d{part}", ["c_custkey", "c_mktsegment"])
+    lines = text_lines(t.spark, path, recursive=True).withColumn("file", F.input_file_name())
+    pairs = parse_pairs(lines, [("c_mktsegment", "string")], "c_custkey")
+    return pairs.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_mktsegment").withColumn("part", F.col("c_custkey") % 3)
+
+
+@query("SELECT p_name AS value, row_number() OVER (ORDER BY p_partkey) AS line_no FROM part")
+def file_line_numbers(t):
+    """Numbers of a file's lines, in the order of the file."""
+    path = scratch_path(t.spark, "titles")
+    t.part.orderBy("p_partkey").select(F.col("p_name").alias("value")).coalesce(1).write.text(path)
+    return numbered_lines(t.spark, path).select("value", "line_no")
+
+
+@query("SELECT CAST(c_nationkey AS DOUBLE) AS label, c_acctbal AS f1, CAST(c_custkey AS DOUBLE) AS f3 FROM customer")
+def libsvm_rows(t):
+    path = scratch_path(t.spark, "libsvm")
+    line = F.concat(F.col("c_nationkey").cast("string"), F.lit(" 1:"), F.col("c_acctbal").cast("string"), F.lit(" 3:"), F.col("c_custkey").cast("string"))
+    t.customer.select(line.alias("value")).write.text(path)
+    vector = vector_to_array("features")
+    return libsvm(t.spark, path, 3).select("label", vector[0].alias("f1"), vector[2].alias("f3"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS v FROM orders")
+def sequence_file(t):
+    path = scratch_path(t.spark, "pairs")
+    sinks.write_key_values(t.orders, path, "o_orderkey", "o_orderstatus")
+    return t.spark.createDataFrame(t.spark.sparkContext.sequenceFile(path), "k string, v string")
+
+
+@query("SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
+def table_sink(t):
+    """A partitioned catalog table, written, then written again for some of its days."""
+    name = f"weirflow_days_{uuid.uuid4().hex}"
+    rows = t.events.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    sinks.write_table(rows, name, ["day"])
+    sinks.write_table(rows.where("day < '2024-01-10'"), name, ["day"], mode="overwrite")
+    path = scratch_path(t.spark, "days")
+    t.spark.table(name).select("event_id", "event_type", "day").write.parquet(path)
+    t.spark.sql(f"DROP TABLE {name}")
+    return t.spark.read.parquet(path)
+
+
+@query("SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS total FROM orders WHERE o_totalprice > 100000")
+def insert_select(t):
+    """``INSERT INTO … SELECT`` between declared tables."""
+    path, name = scratch_path(t.spark, "large"), f"weirflow_large_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE TABLE {name} (o_orderkey LONG, total DOUBLE) USING json LOCATION '{path}'")
+    t.orders.createOrReplaceTempView("weirflow_orders")
+    t.spark.sql(f"INSERT INTO {name} SELECT o_orderkey, o_totalprice AS total FROM weirflow_orders WHERE o_totalprice > 100000")
+    t.spark.sql(f"DROP TABLE {name}")
+    return t.spark.read.schema("o_orderkey long, total double").json(path)
+
+
+@query("SELECT count(*) AS n, CAST(sum(k) AS BIGINT) AS total FROM (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)")
+def observed_rows(t):
+    """What a watch on rows in flight has counted when they were written."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    watched, seen = observed(t.events.select(k.alias("k")), "rows", F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
+    watched.write.parquet(scratch_path(t.spark, "watched"))
+    return t.spark.createDataFrame([(seen.get["n"], seen.get["total"])], "n long, total long")

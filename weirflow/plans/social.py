@@ -10,8 +10,6 @@ from weirflow.operators import aggregates as agg
 from weirflow.operators import features, graph
 from weirflow.plans.registry import Tables, query
 
-ANCHORS = features.Anchors.daily("2024-01-10 00:00:00", 11)
-
 K = "CAST(json_extract(props, '$.k') AS BIGINT)"
 RELATIONS = f"relations AS (SELECT DISTINCT user_id, {K} AS follower FROM events)"
 
@@ -146,7 +144,8 @@ people AS (SELECT DISTINCT user_id FROM uses),
 pairs AS (SELECT user_id, follower FROM relations
   WHERE user_id IN (SELECT user_id FROM people) AND follower IN (SELECT user_id FROM people))"""
 ANCHORED = f"""{FEATURES},
-anchors AS (SELECT TIMESTAMP '2024-01-10' + INTERVAL 1 DAY * n AS anchor FROM range(11) r(n)),
+anchors AS (SELECT unnest(generate_series(date_trunc('day', min(ts)) + INTERVAL 1 DAY, date_trunc('day', max(ts)) + INTERVAL 1 DAY,
+  INTERVAL 1 DAY)) AS anchor FROM events),
 own AS (SELECT user_id, hashtag, anchor,
     count(*) FILTER (ts < anchor AND ts >= anchor - INTERVAL 1 DAY) AS label,
     count(*) FILTER (ts < anchor - INTERVAL 1 DAY AND ts > anchor - INTERVAL 4 DAY) AS num_tweets,
@@ -163,15 +162,16 @@ theirs AS (SELECT p.user_id, o.hashtag, o.anchor, CAST(sum(o.num_tweets) AS BIGI
       AND own.anchor = theirs.anchor JOIN profiles ON profiles.user_id = own.user_id WHERE eligible"""
 )
 def feature_training(t):
-    return features.training_rows(uses(t), relations(t), profiles(t), ANCHORS)
+    return features.training_rows(uses(t), relations(t), profiles(t), features.Anchors.covering(uses(t)))
 
 
 @query(f"WITH {ANCHORED} SELECT user_id, hashtag, anchor, num_user_relations FROM theirs")
 def neighbour_window_counts(t):
     known, pairs = features.known_users(relations(t), uses(t), profiles(t), "user_id", "follower")
-    own = features.use_counts(known, "user_id", "hashtag", "ts", ANCHORS)
+    anchors = features.Anchors.covering(uses(t))
+    own = features.use_counts(known, "user_id", "hashtag", "ts", anchors)
     counts = features.neighbour_counts(own, pairs, "user_id", "follower", "hashtag")
-    return counts.withColumn("anchor", ANCHORS.time(F.col("anchor_no"))).drop("anchor_no")
+    return counts.withColumn("anchor", anchors.time(F.col("anchor_no"))).drop("anchor_no")
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.operators.filters import words
+from weirflow.operators import windows
 from weirflow.operators.joins import lookup
 from weirflow.plans.registry import Tables, query
 from weirflow.plans.social import K, _k
@@ -239,7 +240,16 @@ def late_rows(t):
     return on_time.unionByName(late)
 
 
-@query()
+@query(
+    f"""WITH one AS (SELECT event_type, count(*) AS c FROM events WHERE ts < TIMESTAMP '{HALF}' GROUP BY 1),
+    two AS (SELECT event_type, count(*) AS c FROM events WHERE NOT ts < TIMESTAMP '{HALF}' GROUP BY 1),
+    n AS (SELECT (SELECT coalesce(sum(c), 0) FROM one) AS n1, (SELECT coalesce(sum(c), 0) FROM two) AS n2),
+    first AS (SELECT event_type, c AS f, 0 AS delta FROM one, n WHERE c > n1 // 100),
+    second AS (SELECT coalesce(first.event_type, two.event_type) AS event_type, coalesce(f, 0) + coalesce(c, 0) AS f,
+      coalesce(delta, n1 // 100) AS delta FROM n, first FULL JOIN two ON first.event_type = two.event_type)
+    SELECT event_type, CAST(f AS BIGINT) AS f, CAST(delta AS BIGINT) AS delta, CAST(f + delta AS BIGINT) AS estimate
+    FROM second, n WHERE f + delta > (n1 + n2) // 100"""
+)
 def stream_lossy_count(t):
     schema = "event_type string, f long, delta long, seen long"
 
@@ -296,7 +306,7 @@ def stream_once_per_id(t):
 
 
 @query("SELECT event_id, event_type, value FROM events")
-def stream_single_join(t):
+def stream_interval_join(t):
     def joined(s: DataFrame) -> DataFrame:
         kinds = s.select("event_id", "event_type", F.col("ts").alias("kind_ts"))
         values = s.select("event_id", "value", F.col("ts").alias("value_ts"))
@@ -354,3 +364,143 @@ def stream_lookup(t):
     return _appended(
         t, "lookup", lambda s: lookup(s, customers, "user_id", ["c_mktsegment"]).select("event_id", "c_mktsegment")
     )
+
+
+# --- windows, rankings and joins kept over batches -----------------------------------------
+
+
+DAILY_SLIDES = """WITH slid AS (SELECT window_start, event_type, count(*) AS cnt FROM (
+    SELECT event_type, unnest([time_bucket(INTERVAL 1 DAY, ts), time_bucket(INTERVAL 1 DAY, ts) - INTERVAL 1 DAY]) AS window_start
+    FROM events) GROUP BY ALL)"""
+
+
+@query(
+    f"""{DAILY_SLIDES} SELECT window_start, window_start + INTERVAL 2 DAY AS window_end, event_type, cnt FROM slid
+    WHERE window_start + INTERVAL 2 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+)
+def stream_sliding_windows(t):
+    return _appended(
+        t, "sliding", lambda s: jobs.windowed_counts(s, "ts", "2 days", "1 day", "10 minutes", ["event_type"])
+    )
+
+
+ROLLED = """slots AS (SELECT CAST(user_id AS VARCHAR) AS obj, epoch_us(ts) // 3600000000 AS pane FROM events),
+    ends AS (SELECT obj, e, sum(c) AS cnt FROM (
+      SELECT obj, unnest(range(pane + 1, pane + 8)) AS e, unnest([1, 1, 1, 1, 1, 1, 0]) AS c FROM slots) GROUP BY ALL),
+    rolled AS (SELECT obj, CAST(cnt AS BIGINT) AS cnt, make_timestamp(e * 3600000000) AS window_end,
+      CAST(least(6 * 3600, (e - (SELECT min(pane) FROM slots)) * 3600) AS BIGINT) AS window_seconds FROM ends)"""
+
+
+def _rolled(t: Tables, label: str) -> DataFrame:
+    """Rolling counts of six hours, emitted each hour, from pane counts that two runs of a stream have added up."""
+    merge = st.sum_by(["who", "pane"], ["n"])
+    schema = "who string, pane long, n long"
+
+    def job(stream: DataFrame, run: Run) -> None:
+        jobs.keep_table(stream, run.table(schema, merge), lambda b: windows.pane_counts(b, "ts", "who", 3600), run.checkpoint)
+
+    uses = t.events.select(F.col("user_id").cast("string").alias("who"), "ts")
+    run = _feed(uses, _early(), label, job)
+    return windows.rolling_from_panes(run.table(schema, merge).read(t.spark), "who", 6 * 3600, 3600)
+
+
+@query(f"WITH {ROLLED} SELECT * FROM rolled")
+def stream_rolling_count(t):
+    return _rolled(t, "rolling")
+
+
+@query(
+    f"""WITH {ROLLED} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, obj) AS rank
+      FROM rolled WHERE cnt > 0) WHERE rank <= 3"""
+)
+def stream_topn(t):
+    return windows.top_n_per(_rolled(t, "ranking"), 3, "cnt", "obj", ["window_end"])
+
+
+@query(
+    """WITH last AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, user_id, arg_max(value, event_id) AS value FROM events GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY value DESC, user_id) AS r FROM last)
+    SELECT '<' || strftime(w, '%Y-%m-%d %H:%M:%S') || '>' || string_agg('<' || user_id || '>', '' ORDER BY r) AS value
+    FROM ranked WHERE r <= 5 GROUP BY w"""
+)
+def flush_log(t):
+    """The log of the largest values at each flush, from the newest value of each key and hour that a stream keeps."""
+    schema = "window_start timestamp_ntz, user_id long, value double, event_id long"
+    merge = st.newest_by(["window_start", "user_id"], ["event_id"], ["window_start", "user_id", "value", "event_id"])
+
+    def newest(batch: DataFrame) -> DataFrame:
+        placed = batch.withColumn("window_start", F.date_trunc("hour", "ts").cast("timestamp_ntz")).withColumn("batch_id", F.lit(0))
+        return merge(placed.select("window_start", "user_id", "value", "event_id", "batch_id"))
+
+    def job(stream: DataFrame, run: Run) -> None:
+        jobs.keep_table(stream, run.table(schema, merge), newest, run.checkpoint)
+
+    run = _feed(_events(t), _early(), "flush", job)
+    kept = run.table(schema, merge).read(t.spark)
+    ranked = windows.top_n_per(kept.withColumn("value", F.col("value") + 0.0), 5, "value", "user_id", ["window_start"])
+    return windows.flush_lines(ranked, "user_id")
+
+
+@query(
+    """WITH placed AS (SELECT user_id, event_id, k, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS n FROM (
+      SELECT user_id, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, ts FROM events)),
+    ends AS (SELECT user_id, unnest(generate_series(n // 5 - 1, n // 5)) AS window_no, k FROM placed)
+    SELECT user_id, CAST(window_no AS BIGINT) AS window_no, count(*) AS cnt, CAST(sum(k) AS BIGINT) AS total FROM ends
+    WHERE window_no >= 0 GROUP BY ALL HAVING count(*) = 10"""
+)
+def stream_sliding_count(t):
+    schema = "user_id long, n long"
+    merge = st.sum_by(["user_id"], ["n"])
+
+    def job(stream: DataFrame, run: Run) -> None:
+        table = run.table(schema, merge)
+        jobs.sliding_count_windows(stream, table, run.out, 10, 5, "k", ["event_id"], ["user_id"], run.checkpoint)
+
+    middle = t.events.agg(F.percentile_approx("event_id", 0.5).alias("m")).scalar()
+    run = _feed(_events(t), F.col("event_id") <= middle, "slidingcount", job)
+    return jobs.complete_sliding_windows(t.spark.read.parquet(run.out), 10, 5, ["user_id"])
+
+
+@query(
+    """WITH first AS (SELECT o_custkey AS id, CAST(min(o_orderkey) AS VARCHAR) AS "order" FROM orders GROUP BY 1)
+    SELECT id, "order", c_name AS name, c_mktsegment AS segment FROM first JOIN customer ON c_custkey = id"""
+)
+def stream_single_join(t):
+    """Three sources of different tables, joined on the customer as they come."""
+    order = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.min("o_orderkey").cast("string").alias("value"))
+    sides = {
+        "order": order,
+        "name": t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("value")),
+        "segment": t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("value")),
+    }
+    rows = None
+    for name, frame in sides.items():
+        one = frame.select("id", F.lit(name).alias("side"), "value")
+        rows = one if rows is None else rows.unionByName(one)
+    schema = "id long, side string, value string"
+
+    def job(stream: DataFrame, run: Run) -> None:
+        table = run.table(schema, lambda df: df.select("id", "side", "value"))
+        jobs.join_sides(stream, table, run.out, "id", "side", list(sides), "value", run.checkpoint)
+
+    run = _feed(rows, (F.col("side") == "order") | (F.col("id") % 2 == 0), "join", job)
+    return t.spark.read.parquet(run.out).select("id", *sides)
+
+
+@query(
+    """SELECT n // 5 AS bucket, count(*) AS n_keys FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1) GROUP BY 1"""
+)
+def stream_histogram(t):
+    def job(stream: DataFrame, run: Run) -> None:
+        jobs.kept_histogram(stream, _counted(run), _buckets(run), "user_id", 5, run.checkpoint)
+
+    run = _feed(_events(t), _early(), "histogram", job)
+    return _buckets(run).read(t.spark).where("n_keys > 0")
+
+
+def _counted(run: Run) -> st.BatchTable:
+    return run.table("user_id long, n long", st.sum_by(["user_id"], ["n"]))
+
+
+def _buckets(run: Run) -> st.BatchTable:
+    return st.BatchTable(f"{run.root}/histogram", "bucket long, n_keys long", st.sum_by(["bucket"], ["n_keys"]))

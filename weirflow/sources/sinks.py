@@ -85,8 +85,14 @@ def with_time_partition(df: DataFrame, ts: str, pattern: str = "yyyy/MM/dd", nam
 
 def write_table(df: DataFrame, table: str, by: Sequence[str], mode: str = "append") -> None:
     """A catalog table whose partitions appear as they are needed; overwriting replaces only those written."""
-    if df.sparkSession.catalog.tableExists(table):
-        df.select(*df.sparkSession.table(table).columns).write.mode(mode).option("partitionOverwriteMode", "dynamic").insertInto(table)
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    if spark.catalog.tableExists(table):
+        before = spark.conf.get(setting)  # no option of the writer does this for a catalog table
+        spark.conf.set(setting, "dynamic")
+        try:
+            df.select(*spark.table(table).columns).write.mode(mode).insertInto(table)
+        finally:
+            spark.conf.set(setting, before)
     else:
         df.write.mode(mode).partitionBy(*by).saveAsTable(table)
 

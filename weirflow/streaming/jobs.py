@@ -90,7 +90,7 @@ def running_values(
         spark = batch.sparkSession
         brought = batch.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
         table.write(brought, batch_id)
-        opening = table.read(spark, before=batch_id).select(*on, F.col("n").alias("n0"), F.col("total").alias("t0"))
+        opening = table.read(spark, batch_id, batch.select(*on)).select(*on, F.col("n").alias("n0"), F.col("total").alias("t0"))
         folds = {"n": Fold("sum", F.lit(1).cast("long")), "total": Fold("sum", F.col(value))}
         rows = prefix(batch, order, folds, on, block)
         joined = rows.join(opening, on, "left").withColumns(
@@ -116,7 +116,7 @@ def count_windows(
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         table.write(batch.groupBy(*on).agg(F.count(F.lit(1)).alias("n")), batch_id)
-        opening = table.read(spark, before=batch_id).select(*on, F.col("n").alias("n0"))
+        opening = table.read(spark, batch_id, batch.select(*on)).select(*on, F.col("n").alias("n0"))
         rows = prefix(batch, order, {"__n": Fold("sum", F.lit(1).cast("long"))}, on).join(opening, on, "left")
         at = F.col("__n") + F.coalesce("n0", F.lit(0))
         parts = (
@@ -131,6 +131,69 @@ def count_windows(
     drain(stream, step, checkpoint)
 
 
+def sliding_count_windows(
+    stream: DataFrame, table: BatchTable, out: str, size: int, slide: int, value: str, order: Sequence[str], keys, checkpoint: str
+) -> None:
+    """Windows of the last ``size`` rows per key, one every ``slide`` rows (``slide`` must divide ``size``).
+
+    ``out`` receives the parts of panes of ``slide`` rows, as ``count_windows`` does; ``complete_sliding_windows`` adds up the
+    panes of each window.
+    """
+    if size % slide:
+        raise ValueError("the slide must divide the size")
+    count_windows(stream, table, out, slide, value, order, keys, checkpoint)
+
+
+def complete_sliding_windows(parts: DataFrame, size: int, slide: int, keys: Sequence[str]) -> DataFrame:
+    """(keys, window_no, cnt, total): the windows that are full; window 0 ends after the first ``size`` rows."""
+    panes = complete_windows(parts, slide, keys)
+    held = size // slide
+    ends = panes.withColumn("window_no", F.explode(F.sequence(F.col("window_no") - (held - 1), F.col("window_no"))))
+    whole = ends.where("window_no >= 0").groupBy(*keys, "window_no").agg(F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
+    return whole.where(F.col("cnt") == size)
+
+
+def join_sides(stream: DataFrame, table: BatchTable, out: str, on: str, side: str, sides: Sequence[str], value: str, checkpoint: str) -> None:
+    """Join any number of sources on a key that each of them has once.
+
+    ``stream`` is the sources' union, with the name of the source in ``side``; ``table`` (on, side, value) keeps what has come. A
+    key is written with one column for each source by the batch that completes it. A second row of a source for a key is an error.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        table.write(batch.select(on, side, value), batch_id)
+        rows = table.read(spark, batch_id + 1, batch.select(on))
+        again = rows.groupBy(on, side).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+        if again:
+            raise ValueError(f"a second row of {again[0][side]} for {on} {again[0][on]}")
+        columns = [F.max(F.when(F.col(side) == s, F.col(value))).alias(s) for s in sides]
+        whole = rows.groupBy(on).agg(F.count(F.lit(1)).alias("n"), *columns).where(F.col("n") == len(sides))
+        whole.drop("n").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    drain(stream, step, checkpoint)
+
+
+def kept_histogram(stream: DataFrame, counts: BatchTable, histogram: BatchTable, key: str, width: int, checkpoint: str) -> None:
+    """Counts per key, and beside them how many keys lie in each bucket of counts, kept up to date.
+
+    A key whose count changes leaves its old bucket (-1) and enters the new one (+1), so a batch touches its own keys only.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        brought = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        counts.write(brought, batch_id)
+        before = counts.read(spark, batch_id, batch.select(key)).select(key, F.col("n").alias("n0"))
+        moved = brought.join(before, key, "left")
+        old = F.struct(F.expr(f"n0 div {width}").alias("bucket"), F.lit(-1).cast("long").alias("n_keys"))
+        new = F.struct(F.expr(f"(coalesce(n0, 0L) + n) div {width}").alias("bucket"), F.lit(1).cast("long").alias("n_keys"))
+        steps = moved.select(F.explode(F.array(old, new)).alias("s")).select("s.*").where("bucket IS NOT NULL")
+        histogram.write(steps.groupBy("bucket").agg(F.sum("n_keys").alias("n_keys")), batch_id)
+
+    drain(stream, step, checkpoint)
+
+
 def complete_windows(parts: DataFrame, size: int, keys: Sequence[str]) -> DataFrame:
     whole = parts.groupBy(*keys, "window_no").agg(F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
     return whole.where(F.col("cnt") == size)
@@ -168,6 +231,7 @@ def lossy_step(table: BatchTable, key: str, width: int) -> Callable[[DataFrame,
             (before.scalar() + F.col("c")).alias("seen"),
         )
         table.write(state.unionByName(marker), batch_id)
+        table.forget(spark, batch_id - 1)
 
     return step
 

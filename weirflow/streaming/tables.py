@@ -34,9 +34,12 @@ class BatchTable:
     def write(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """The state after all batches, or after those before ``before``."""
-        return self.merge(self._rows(spark, before))
+    def read(self, spark: SparkSession, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The state after all batches, or after those before ``before``; with ``only``, of the keys it lists."""
+        rows = self._rows(spark, before)
+        if only is not None:
+            rows = rows.join(only.distinct(), only.columns, "left_semi")
+        return self.merge(rows)
 
     def batches(self, spark: SparkSession) -> list[int]:
         return sorted(number for kind, number in self._folders(spark) if kind == "batch")
@@ -60,6 +63,13 @@ class BatchTable:
                     path, files = self._file_system(spark)
                     files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, f"{kind}={number}"), True)
 
+    def forget(self, spark: SparkSession, before: int) -> None:
+        """Remove the folders of batches before ``before``, for tables whose every batch is a whole state."""
+        path, files = self._file_system(spark)
+        for kind, number in self._folders(spark):
+            if kind == "batch" and number < before:
+                files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, f"{kind}={number}"), True)
+
     def _rows(self, spark: SparkSession, before: int | None) -> DataFrame:
         folders = [(k, n) for k, n in self._folders(spark) if before is None or n < before]
         base = max((n for kind, n in folders if kind == "base"), default=None)
