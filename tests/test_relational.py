@@ -162,12 +162,20 @@ def test_observed(spark):
     assert seen.get == {"rows": 7}
 
 
-def test_spread(spark):
+def test_spread(spark, tmp_path):
     frame = spark.range(100).withColumn("k", F.lit("hot"))
     assert sets.spread(frame, "shuffle", 3).rdd.getNumPartitions() == 3
     assert sets.spread(frame, "global", 1).rdd.getNumPartitions() == 1
-    hot = sets.spread(frame, "partial_key", 8, ["k"], salts=8).select(F.spark_partition_id().alias("p"))
-    assert hot.distinct().count() > 1
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1000")
+    try:
+        hot = spark.range(0, 20000, 1, 8).withColumn("k", F.lit("hot"))
+        parts = sets.spread(hot, "partial_key", 8, ["k"]).select(F.spark_partition_id().alias("p"))
+        parts.write.mode("overwrite").parquet(f"{tmp_path}/parts")
+        assert spark.read.parquet(f"{tmp_path}/parts").distinct().count() > 1
+    finally:
+        spark.conf.set(size, before)
     with pytest.raises(ValueError):
         sets.spread(frame, "direct", 1)
 

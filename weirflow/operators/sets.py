@@ -17,17 +17,16 @@ def union_distinct(*frames: DataFrame) -> DataFrame:
     return union_all(*frames).distinct()
 
 
-def spread(df: DataFrame, how: str, n: int, keys: Sequence[str] = (), salts: int = 8) -> DataFrame:
-    """Repartition: ``shuffle`` evenly, ``fields`` by key, ``partial_key`` by key and salt (a hot key
-    goes to several tasks), ``global`` to one task (for small results only).
+def spread(df: DataFrame, how: str, n: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Repartition: ``shuffle`` evenly, ``fields`` by key, ``partial_key`` by key with a hot key cut to
+    tasks of the advisory size, ``global`` to one task (for small results only).
     """
     if how == "shuffle":
         return df.repartition(n)
     if how == "fields":
         return df.repartition(n, *keys)
     if how == "partial_key":
-        rest = [c for c in df.columns if c not in keys] or list(keys)
-        return df.repartition(n, *keys, F.pmod(F.xxhash64(*rest), F.lit(salts)))
+        return df.hint("rebalance", n, *keys)
     if how == "global":
         return df.coalesce(1)
     raise ValueError(f"unknown way to spread rows: {how!r}")

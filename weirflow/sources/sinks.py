@@ -70,10 +70,9 @@ def write_delimited(
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", rows_per_file: int = 0):
     """Parquet in one folder per value of ``by``.
 
-    Rows are spread by those columns and a salt, so a frequent value is written by several tasks.
+    Rows are dealt by those columns, and adaptive execution cuts what a frequent value brings to tasks of its advisory size.
     """
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by] or by), F.lit(8))
-    writer = df.repartition(*by, salt).write.mode(mode).partitionBy(*by)
+    writer = df.hint("rebalance", *by).write.mode(mode).partitionBy(*by)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
