@@ -96,10 +96,9 @@ class Model:
         return sigmoid(self.logits(self.features(data, offsets, index)) / self.temperature)
 
 
-def _contexts(tokens: Tokens, index: np.ndarray, reach: int = 2) -> np.ndarray:
-    """For each bucket the sum of the index vectors of the tokens and shapes next to it, at length 1."""
+def _add_contexts(out: np.ndarray, tokens: Tokens, index: np.ndarray, reach: int = 2) -> None:
+    """Add to each bucket the index vectors of the tokens and shapes next to it."""
     row = np.repeat(np.arange(len(tokens.at) - 1), np.diff(tokens.at))
-    out = np.zeros_like(index, dtype=np.float64)
     for step in range(1, reach + 1):
         near = np.flatnonzero(row[step:] == row[:-step]) if len(row) > step else row[:0]
         for a, b in ((near, near + step), (near + step, near)):
@@ -107,7 +106,6 @@ def _contexts(tokens: Tokens, index: np.ndarray, reach: int = 2) -> np.ndarray:
                 for other in (tokens.token[b], tokens.shape[b]):
                     pair, count = np.unique(mine * BUCKETS + other, return_counts=True)
                     np.add.at(out, pair // BUCKETS, index[pair % BUCKETS] * count[:, None])
-    return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 def _train_network(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int, decay: float, seed: int) -> tuple[np.ndarray, ...]:
@@ -136,26 +134,35 @@ def _temperature(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float
     return float(choices[int(np.argmin(loss))])
 
 
+def _pieces(sample: list[tuple[bytes, int]], limit: int = 1_000_000):
+    """The sample's bytes and offsets, about ``limit`` bytes at a time."""
+    held, size = [], 0
+    for i, (text, _) in enumerate(sample):
+        held.append(text)
+        size += len(text)
+        if size >= limit or i == len(sample) - 1:
+            yield np.frombuffer(b"".join(held), dtype=np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in held])))
+            held, size = [], 0
+
+
 def train(sample: list[tuple[bytes, int]], totals: dict[int, int], rounds: int = 300, decay: float = 1e-3) -> Model:
     """A model from (text, label) pairs; ``totals`` are the numbers of labels of each class that the sample stands for.
 
     Without both labels every score is the share of label 1 (a half without any).
     """
     index = index_vectors()
-    sizes = np.array([len(t) for t, _ in sample], dtype=np.int64)
-    data = np.frombuffer(b"".join(t for t, _ in sample), dtype=np.uint8)
-    offsets = np.concatenate(([0], np.cumsum(sizes)))
     y = np.array([label for _, label in sample], dtype=float)
     width = DIMENSIONS + 3
     if len(set(y)) < 2:
         logit = 0.0 if not len(y) else (6.0 if y[0] else -6.0)
         flat = (np.zeros((width, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.array([logit]))
         return Model(np.zeros((BUCKETS, DIMENSIONS), np.float32), np.zeros(width), np.ones(width), flat, 1.0)
-    context = _contexts(Tokens(data, offsets), index)
+    context = np.zeros_like(index, dtype=np.float64)
+    for piece in _pieces(sample):
+        _add_contexts(context, Tokens(*piece), index)
+    context = (context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)).astype(np.float32)
     bare = Model(context, np.zeros(width), np.ones(width), (), 1.0)
-    cuts = np.searchsorted(offsets, np.arange(0, offsets[-1] + 1, 2_000_000))
-    x = [bare.features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], index) for a, b in zip(cuts, [*cuts[1:], len(sample)]) if a < b]
-    x = np.concatenate(x)
+    x = np.concatenate([bare.features(*piece, index) for piece in _pieces(sample)])
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     weight = np.where(y > 0, totals[1] / (y > 0).sum(), totals[0] / (y == 0).sum())
     held = np.arange(len(y)) % 5 == 0
@@ -164,7 +171,7 @@ def train(sample: list[tuple[bytes, int]], totals: dict[int, int], rounds: int =
     return Model(context, center, scale, layers, _temperature(model.logits(x[held]), y[held], weight[held]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, use: Column, label: str = "quality", doc_id: str = "doc_id", text: str = "text", per_class: int = 1500, max_bytes: int = 12_000_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, use: Column, label: str = "quality", doc_id: str = "doc_id", text: str = "text", per_class: int = 1500, max_bytes: int = 6_000_000) -> Model:
     """A model, word vectors included, from at most ``per_class`` labelled documents of each class (see ``labelled_sample``)."""
     return train(*labelled_sample(docs, labels, label, doc_id, text, use, per_class, max_bytes))
 
