@@ -52,12 +52,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time that the mix reads a document, with ``copy`` (from 0) and ``position``, sorted by position."""
     path = scratch_path(spark, "mixed")
     mixing.mix(docs).select("k", "th", "positions").write.parquet(path)
-    same = F.row_number().over(Window.partitionBy("_k", "_th").orderBy(F.lit(0))).alias("_n")
-    mixed = spark.read.parquet(path).select(F.col("k").alias("_k"), F.col("th").alias("_th"), "positions").select("*", same)
-    mixed = mixed.select("_k", "_th", "_n", F.posexplode("positions").alias("copy", "position"))
+    mixed = spark.read.parquet(path).groupBy(F.col("k").alias("_k"), F.col("th").alias("_th")).agg(F.collect_list("positions").alias("each"))
     k, th = key_of(docs, "doc_id", "text")
+    same = F.row_number().over(Window.partitionBy("_k", "_th").orderBy(F.lit(0))).alias("_n")
     keyed = docs.select(F.struct("*").alias("row"), k.alias("_k"), th.alias("_th")).select("*", same)
-    return keyed.join(mixed, ["_k", "_th", "_n"]).select("row.*", "copy", "position").orderBy("position", "row.doc_id")
+    # rows of one key are equal but for other columns, and take the places of the key in turn; all meet on the key alone, so
+    # the texts are dealt once before they are sorted
+    placed = keyed.join(mixed, ["_k", "_th"]).select("row", F.posexplode(F.get("each", F.col("_n") - 1)).alias("copy", "position"))
+    return placed.select("row.*", "copy", "position").orderBy("position", "row.doc_id")
 
 
 STAGES = [
