@@ -244,6 +244,28 @@ def test_blocks_of_the_benchmark_give_the_same(spark):
     assert Counter(map(tuple, one.collect())) == Counter(map(tuple, many.collect()))
 
 
+def test_names_at_sentence_starts_and_of_two_words(spark):
+    asked = "Anna has 12 apples. She eats 3. Tom gives Anna 5 more. How many has Anna now?"
+    items = spark.createDataFrame([(1, asked), (2, "the rope of Mary is 12 cm long and Mary cuts it into pieces of 3 cm each")], "item_id long, text string")
+    rows = [
+        (1, "Well. " + asked.replace("Anna", "Maria").replace("Tom", "Jo Ann Lee").replace("12", "30")),
+        (2, "x the rope of Mary Ann is 40mm long and Mary Ann cuts it into pieces of 5mm each"),
+        (3, "x the rope of Mary Ann is 40mm long and Peter cuts it into pieces of 5mm each"),
+        (4, "how many apples she eats now is more than well known, and she knows how"),
+    ]
+    found = {(r.doc_id, r.item_id): r for r in templates.leaks(table(spark, rows), items).collect()}
+    assert set(found) == {(1, 1), (2, 2)}
+    assert found[(1, 1)].share == found[(2, 2)].share == 1
+    assert (found[(1, 1)].changed, found[(2, 2)].changed) == (3, 4)
+
+
+def test_an_ordinary_word_at_a_sentence_start_is_no_name(spark):
+    items = spark.createDataFrame([(1, "Today the old man of the sea went home. Yesterday it rained")], "item_id long, text string")
+    rows = [(1, "Today the old man of the sea went home. Yesterday it rained"), (2, "today and yesterday"), (3, "Anna the old man of the sea went")]
+    found = {r.doc_id: r for r in templates.leaks(table(spark, rows), items).collect()}
+    assert set(found) == {1} and found[1].n_slots == 0
+
+
 def labelled(seed, n=500):
     rng = random.Random(seed)
     syllables = ["an", "er", "on", "st", "th", "ea", "ing", "ou", "re", "ti"]
