@@ -244,6 +244,70 @@ def test_blocks_of_the_benchmark_give_the_same(spark):
     assert Counter(map(tuple, one.collect())) == Counter(map(tuple, many.collect()))
 
 
+def simple_tokens(text):
+    return [("#", w) if w.isdigit() else (w, None) for w in text.split()]
+
+
+def leak_by_brute_force(item, doc, window=8, min_share=0.5):
+    """Whether a document of literals and numbers leaks an item, and the best share."""
+    ours, theirs = simple_tokens(item), simple_tokens(doc)
+    size = min(window, len(ours))
+    starts = [s for s in range(len(ours) - size + 1) if any(v is None for _, v in ours[s : s + size])]
+    verbatim = not starts
+    if verbatim:
+        ours, theirs = ([(f"{f}{v or ''}", None) for f, v in x] for x in (ours, theirs))
+        starts = list(range(len(ours) - size + 1))
+    counted = {i for s in starts for i in range(s, s + size)}
+    lines = defaultdict(lambda: (set(), set()))
+    for s in starts:
+        for at in range(len(theirs) - size + 1):
+            pairs = list(zip(ours[s : s + size], theirs[at : at + size]))
+            if all(a[0] == b[0] for a, b in pairs):
+                lines[at - s][0].add(s)
+                lines[at - s][1].update((a[1], b[1]) for a, b in pairs if a[1] is not None)
+    consistent = lambda slots: len({a for a, _ in slots}) == len({b for _, b in slots}) == len(slots)
+    lines = {shift: x for shift, x in lines.items() if consistent(x[1])}
+    best = 0
+    for shift, (found, slots) in lines.items():
+        for other, more in sorted(lines.items(), key=lambda x: (-len(x[1][0]), -x[0])):
+            if abs(other - shift) <= window and consistent(slots | more[1]):
+                found, slots = found | more[0], slots | more[1]
+        best = max(best, len({i for s in found for i in range(s, s + size)}) / len(counted))
+    return best if best >= min_share else None
+
+
+def test_edited_leaks_match_brute_force(spark):
+    rng = random.Random(9)
+    word = lambda: rng.choice("abcdefghij") + rng.choice("klmnopq") + rng.choice("rstuvw")
+    items = [[word() if rng.random() < 0.8 else str(rng.randint(1, 99)) for _ in range(n)] for n in (27, 20, 16, 22, 40)]
+    items[0][13], items[1][10], items[2][8] = "55", "mid", "mid"
+    items += [[str(rng.randint(1, 999)) for _ in range(12)], [str(rng.randint(1, 999)) for _ in range(30)] + ["what", "comes", "next"]]
+    filler = [word() for _ in range(60)]
+    docs = []
+    for item in items:
+        for edit in range(7):
+            new = list(item)
+            if edit == 1:
+                new[len(new) // 2 : len(new) // 2 + 1] = ["two", "words"]
+            elif edit == 2:
+                new[len(new) // 2] = "edited"
+            elif edit == 3:
+                del new[len(new) // 2]
+            elif edit == 4:
+                new = [str(int(w) + 1000) if w.isdigit() else w for w in new]
+            elif edit == 5:
+                new = new[: len(new) // 3]
+            elif edit == 6:
+                new = new[: len(new) // 2] + filler[:15] + new[len(new) // 2 :]
+            docs.append(" ".join(filler[:20] + new + filler[20:]))
+    texts = [" ".join(x) for x in items]
+    want = {(d, i): share for d, doc in enumerate(docs) for i, item in enumerate(texts) if (share := leak_by_brute_force(item, doc)) is not None}
+    found = templates.leaks(table(spark, list(enumerate(docs))), spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): pytest.approx(r.share) for r in found} == want
+    # a value replaced by two words, an edited word in a short item, and a copy of numbers only
+    assert {(1, 0), (8 + 1, 1), (16, 2), (35, 5), (42, 6)} <= set(want)
+
+
 def test_names_at_sentence_starts_and_of_two_words(spark):
     asked = "Anna has 12 apples. She eats 3. Tom gives Anna 5 more. How many has Anna now?"
     items = spark.createDataFrame([(1, asked), (2, "the rope of Mary is 12 cm long and Mary cuts it into pieces of 3 cm each")], "item_id long, text string")

@@ -211,7 +211,7 @@ def leaks(
     lines = found.groupBy(*item, "shift").agg(F.collect_set("start").alias("starts"), slots.alias("slots")).where(_consistent(F.col("slots")))
     lines = lines.groupBy(*item).agg(F.sort_array(F.collect_list(F.struct(F.size("starts").alias("often"), "shift", "starts", "slots")), asc=False).alias("lines"))
     lines = lines.select(*item, "lines", F.explode("lines").alias("line"))
-    near = F.filter("lines", lambda x: F.abs(x.shift - F.col("line.shift")) == 0)
+    near = F.filter("lines", lambda x: F.abs(x.shift - F.col("line.shift")) <= window)
 
     def add(whole: Column, x: Column) -> Column:
         both = F.struct(F.array_union(whole.starts, x.starts).alias("starts"), F.array_union(whole.slots, x.slots).alias("slots"))
