@@ -33,11 +33,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest doc_id."""
+    """One document of each class of near duplicates, the one with the smallest doc_id. Rows without words are classes of their own."""
     kept = neardup.near_duplicates(docs).where("keeps").select(F.col("k").alias("_k"), F.col("th").alias("_th")).distinct()
     k, th = key_of(docs, "doc_id", "text")
-    keyed = docs.select(F.struct("*").alias("row"), k.alias("_k"), th.alias("_th"))
-    return keyed.join(kept, ["_k", "_th"], "left_semi").dropDuplicates(["_k", "_th"]).select("row.*")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    own = F.when(~worded, F.monotonically_increasing_id()).alias("_own")
+    keyed = docs.select(F.struct("*").alias("row"), k.alias("_k"), th.alias("_th"), own)
+    return keyed.join(kept, ["_k", "_th"], "left_semi").dropDuplicates(["_k", "_th", "_own"]).select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,26 @@ def test_substrings_match_brute_force(spark, seed):
     assert Counter(tuple(r) for r in substrings.digest(got).collect()) == want
 
 
+def colliding(spark):
+    """Two texts of one 32-bit hash."""
+    texts = spark.range(400_000).select(F.concat_ws(" ", *[F.concat(F.lit(x), F.col("id")) for x in "abc"], F.lit("d e")).alias("text"))
+    return texts.groupBy(F.hash("text").alias("h")).agg(F.sort_array(F.collect_list("text")).alias("texts")).where(F.size("texts") > 1).orderBy("h").first().texts[:2]
+
+
+def test_rows_of_one_id_stay_apart(spark):
+    one, two = colliding(spark)
+    start = one[: one.index(" d")]
+    rows = [(1, f"x {start}"), (7, one), (7, two)]
+    got = substrings.drop_repeated_substrings(table(spark, rows), length=3, gram=2)
+    want = Counter((d, len(t.split()), 3 * (t == one), hashlib.sha256((t if t != one else "d e").encode()).hexdigest()) for d, t in rows)
+    assert Counter(tuple(r) for r in substrings.digest(got).collect()) == want
+    got = suffixes.drop_repeated_bytes(table(spark, rows), length=len(start), trigger=3)
+    assert Counter(r.removed for r in suffixes.digest(got).select(F.col(suffixes.digest(got).columns[2]).alias("removed")).collect()) == Counter([len(start)] * 2 + [0])
+    alone = [(None, one), (None, two), (None, None), (None, ""), (None, None), (5, " "), (5, " "), (6, "a b"), (6, "a b")]
+    kept = corpus_pipeline.drop_near_duplicates(spark, table(spark, alone), "").select("doc_id", "text").collect()
+    assert Counter(map(tuple, kept)) == Counter(alone[:-1])
+
+
 def test_lines_match_brute_force(spark):
     line = "a line that is long enough to count as one here"
     rows = [(i, f"  {line.upper()}\t\nshort\nown {i}") for i in range(6)] + [(5, line), (9, None), (8, ""), (None, f"{line}\n{line}\nend")]

@@ -22,7 +22,7 @@ from weirflow.llm.texts import SPACES, column, key_of, pieces, shards_for
 from weirflow.session import scratch_path
 
 SHARD_BYTES = 32_000_000
-LINES_SQL = "k long, th int, h1 long, h2 long, at array<int>"
+LINES_SQL = "k long, th long, h1 long, h2 long, at array<int>"
 HASH = ["h1", "h2"]
 
 

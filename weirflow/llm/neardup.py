@@ -268,7 +268,7 @@ def near_duplicates(
     shards = shards_for(keyed, "text", shard_bytes)
     least = [least_matches((i + 1) * STEP, threshold, tolerance) for i in range(BANDS * ROWS // STEP)]
     path = scratch_path(spark, "signatures")
-    keyed.mapInArrow(_sign(n), "k long, th int, c long, signature binary, keys array<long>").write.parquet(path)
+    keyed.mapInArrow(_sign(n), "k long, th long, c long, signature binary, keys array<long>").write.parquet(path)
     signed = spark.read.parquet(path)
     first = F.min(F.struct("k", "th")).alias("first")
     texts = signed.groupBy("c").agg(first, F.count("*").alias("m"))
@@ -285,7 +285,7 @@ def near_duplicates(
     met = met.select("c", "band", "bk", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
     cell = ["bk", "low", "high"]
     with_signature = met.join(texts.select("c", "k", "th", "m", "signature"), "c")
-    pruned_type = "c long, band int, bk long, chunk int, low int, high int, k long, th int, m long, signature binary"
+    pruned_type = "c long, band int, bk long, chunk int, low int, high int, k long, th long, m long, signature binary"
     dealt = with_signature.repartition(shards, *cell).sortWithinPartitions(*cell)
     pruned = dealt.mapInArrow(_prune(least), pruned_type)
     with_text = pruned.join(keyed, ["k", "th"])

@@ -27,7 +27,7 @@ from weirflow.llm.texts import NULL_ID, key_of, mix, pack, pieces, unpack
 
 ROUTED = pa.schema([("shard", pa.int32()), ("found", pa.bool_()), ("blob", pa.binary())])
 ROUTED_SQL = "shard int, found boolean, blob binary"
-STARTS_SQL = "k long, th int, at binary"
+STARTS_SQL = "k long, th long, at binary"
 
 
 def found_rows(k: np.ndarray, th: np.ndarray, row: np.ndarray, at: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -51,7 +51,7 @@ def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 def found_blobs(found: tuple[np.ndarray, ...], shards: int) -> list[tuple[int, bytes]]:
     """The rows by the shard of their document."""
     k, th, n, data = found
-    shard = (mix(k.view(np.uint64) ^ th.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    shard = (mix(k.view(np.uint64) ^ th.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
     return [(s, pack(*rest, gather(data, start, rest[-1]))) for s, (*rest, start) in split_by(shard, shards, k, th, n, np.cumsum(n) - n)]
 
 
@@ -97,7 +97,7 @@ def answer(routed_rows: DataFrame, shards: int, solve: Callable[[list[tuple]], t
             ends = np.cumsum(n)
             cuts = (ends - n)[new].tolist() + [len(data)]
             at = pa.array([data[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(k[new]), pa.array(th[new], pa.int32()), at], names=["k", "th", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(k[new]), pa.array(th[new]), at], names=["k", "th", "at"])
 
     found = routed_rows.repartition(shards, "shard").mapInArrow(solved, ROUTED_SQL)
     return found.repartition(shards, "shard").mapInArrow(by_document, STARTS_SQL)

@@ -55,7 +55,7 @@ def _seeds(piece, length: int, gram: int, shards: int):
     # a seed that one document holds several times is sent with all its places, since another piece may open it
     sent = np.sort(np.concatenate((firsts[open_group], order[~open_group[group]]))) if len(seed) else firsts
     parts = split_by((hashes[sent] % np.uint64(shards)).astype(np.int64), shards, hashes[sent], row[sent].astype(np.int32), (seed[sent] - a.words.at[row[sent]]).astype(np.int32))
-    return blob_rows(parts, k, th.astype(np.int32)), found
+    return blob_rows(parts, k, th), found
 
 
 def _open_seeds(blobs):
@@ -90,7 +90,7 @@ def _extend(piece, length: int, gram: int, shards: int):
     found = found_rows(k, th, row[local], starts[local] - a.words.at[row[local]])
     shard = (a.hash[anchor[sent]] % np.uint64(shards)).astype(np.int64)
     parts = split_by(shard, shards, window[sent], row[sent].astype(np.int32), (starts[sent] - a.words.at[row[sent]]).astype(np.int32))
-    return blob_rows(parts, k, th.astype(np.int32)), found
+    return blob_rows(parts, k, th), found
 
 
 def _repeated(blobs):

@@ -67,7 +67,7 @@ def _seeds(piece, length: int, trigger: int, shards: int):
     sent = np.sort(firsts)
     at = (p.place[sent] - p.offsets[p.row[sent]]).astype(np.int32)
     parts = split_by((p.hash[sent] % np.uint64(shards)).astype(np.int64), shards, p.hash[sent], p.row[sent].astype(np.int32), at)
-    return blob_rows(parts, k, th.astype(np.int32)), found
+    return blob_rows(parts, k, th), found
 
 
 def _open_seeds(blobs):
@@ -98,7 +98,7 @@ def _extend(piece, length: int, trigger: int, shards: int):
     arrays = (hashes[sent], row[sent].astype(np.int32), (low - base)[sent].astype(np.int32), (place - low)[sent].astype(np.int16), (high - low + 1)[sent].astype(np.int16), low[sent])
     blobs = []
     for s, (*rest, start) in split_by(shard, shards, *arrays):
-        blobs.append((s, pack(k, th.astype(np.int32), *rest, gather(p.data, start, rest[-1].astype(np.int64) + length - 1))))
+        blobs.append((s, pack(k, th, *rest, gather(p.data, start, rest[-1].astype(np.int64) + length - 1))))
     return blobs, found
 
 

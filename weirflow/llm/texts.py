@@ -173,10 +173,10 @@ def sha256(data: bytes) -> str:
 
 
 def key_of(docs: DataFrame, doc_id: str, text: str) -> list[Column]:
-    """A row's key: its doc_id, and a hash of its text that tells apart rows of one doc_id."""
+    """A row's key: its doc_id, and a hash of its text, of 64 bits, that tells apart rows of one doc_id."""
     return [
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("k"),
-        F.hash(F.coalesce(F.col(text), F.lit(""))).alias("th"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"),
     ]
 
 
