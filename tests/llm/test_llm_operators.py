@@ -427,6 +427,39 @@ def test_neighbours_by_brute_force(spark):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("n", [21, 10, 300])
+def test_every_query_gets_all_its_neighbours(spark, n):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(n, 16))
+    if n == 300:
+        v[7] *= 30
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    held = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    extra = spark.createDataFrame([(-1, (-v[3]).tolist())], held.schema)
+    # one cell of each table, so that many queries are short
+    got = neighbours.nearest(held, held.unionByName(extra), 20, chunk=50, probes=1).collect()
+    sizes = Counter(r.query_id for r in got)
+    assert sizes == {i: min(20, n - (i >= 0)) for i in range(-1, n)}
+    if n < 300:
+        for q, x in [(-1, -v[3]), *enumerate(v)]:
+            scores = v @ x
+            order = [int(i) for i in np.argsort(-scores) if i != q][:20]
+            assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == order
+
+
+def test_fewer_functions_where_probes_do_not_reach_the_recall():
+    v = np.random.default_rng(2).normal(size=(500, 64))
+    start = neighbours.Tables(float(np.linalg.norm(v, axis=1).max()), 64, tables=2, width=0.5)
+    fitted = neighbours.fit_probes(start, v, 20)
+    keys, probed = fitted.keys(v), fitted.probe_keys(v[:200])
+    scores = v[:200] @ v.T
+    np.fill_diagonal(scores, -np.inf)
+    near = np.argsort(-scores, axis=1)[:, :20]
+    met = (keys[near][:, :, :, None] == probed[:, None]).any(axis=(2, 3))
+    assert fitted.functions < start.functions
+    assert met.mean() >= 0.96
+
+
 def test_equal_vectors_tie_by_id(spark):
     rows = [(i, [1.0, 2.0]) for i in range(30)] + [(30, [1.0, 1.0])] * 2
     held = spark.createDataFrame(rows, "vec_id long, embedding array<double>")

@@ -5,7 +5,8 @@ product. A table hashes a vector by ``width`` wide cells of ``functions`` random
 cell of each table and then the cells next to it in the order of their estimated chance to hold neighbours: the sets of
 perturbed coordinates are ranked by the expected squared distance of the query's sorted coordinates to the cell borders.
 
-How many cells are visited is fitted on a bounded sample, so that the sample's own neighbours are found. Buckets are cut into
+How many cells are visited, and of how many functions, is fitted on a bounded sample, so that the sample's own neighbours are
+found. A query that meets too few candidates in its cells is compared with all vectors, block by block. Buckets are cut into
 chunks, so a large bucket is many tasks and none is capped. Of equal vectors, only as many of the smallest ids as can be
 asked for are indexed, which loses nothing.
 """
@@ -97,24 +98,26 @@ def usable(vector: Column) -> Column:
 
 
 def fit_probes(tables: Tables, sample: np.ndarray, neighbours: int, queries: int = 200, recall: float = 0.96) -> Tables:
-    """The fewest probes that find ``recall`` of the sample's neighbours within the sample."""
+    """The fewest probes that find ``recall`` of the sample's neighbours within the sample; with fewer functions, and then more tables, if no number does."""
     if len(sample) < 2:
         return tables
     asked = sample[:queries]
     scores = asked @ sample.T
     np.fill_diagonal(scores, -np.inf)
     near = np.argsort(-scores, axis=1)[:, : min(neighbours, len(sample) - 1)]
-    held = tables.keys(sample)
-    widest = Tables(**{**tables.__dict__, "probes": PROBES[-1]})
-    probed = widest.probe_keys(asked)
-    first = np.full(near.shape, probed.shape[2])
-    for p in range(probed.shape[2])[::-1]:
-        met = (held[near] == probed[:, None, :, p]).any(axis=2)
-        first[met] = p
-    for probes in PROBES:
-        if (first < probes).mean() >= recall:
-            break
-    return Tables(**{**tables.__dict__, "probes": probes})
+    more = [(f, tables.tables) for f in range(tables.functions, 0, -1)] + [(1, tables.tables * 2**i) for i in range(1, 8)]
+    for functions, count in more:
+        widest = Tables(**{**tables.__dict__, "functions": functions, "tables": count, "probes": PROBES[-1]})
+        held = widest.keys(sample)
+        probed = widest.probe_keys(asked)
+        first = np.full(near.shape, PROBES[-1])
+        for p in range(probed.shape[2])[::-1]:
+            met = (held[near] == probed[:, None, :, p]).any(axis=2)
+            first[met] = p
+        for probes in PROBES:
+            if (first < probes).mean() >= recall:
+                return Tables(**{**widest.__dict__, "probes": probes})
+    return widest
 
 
 def _matrix(batch: pa.RecordBatch, name: str = "v") -> np.ndarray:
@@ -230,7 +233,7 @@ def nearest(
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without an id or
     vectors of another length than most. Rows of one id with the same vector count once, with different vectors each for
-    itself, the best score counting. Fewer candidates give fewer rows; an empty table gives none. Other columns are left out.
+    itself, the best score counting. Only where there are fewer candidates in all are there fewer rows; an empty table gives none. Other columns are left out.
     """
     spark = vectors.sparkSession
 
@@ -267,6 +270,33 @@ def nearest(
     both = both.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
     found = both.mapInArrow(_search(neighbours + SLACK), "query_id long, vec_id long, score double")
 
+    path = scratch_path(spark, "nearest")
+    _ranked(found, asked, held, neighbours).write.parquet(path)
+    best = spark.read.parquet(path)
+
+    # a query's candidates are all ids but its own; whoever got fewer than there are is compared with all vectors
+    ids = held.select(F.col("id").alias("query_id")).distinct()
+    total = ids.count()
+    own = asked.select(F.col("id").alias("query_id")).distinct().join(ids.withColumn("own", F.lit(1)), "query_id", "left")
+    need = F.least(F.lit(neighbours), F.lit(total) - F.coalesce("own", F.lit(0)))
+    got = best.groupBy("query_id").agg(F.count("*").alias("n"))
+    path = scratch_path(spark, "short")
+    own.join(got, "query_id", "left").where(F.coalesce("n", F.lit(0)) < need).select("query_id").write.parquet(path)
+    short = spark.read.parquet(path)
+    if short.isEmpty():
+        return best
+    blocks = max(1, -(-held.count() // chunk))
+    again = asked.join(short, F.col("id") == F.col("query_id"), "left_semi")
+    dealt = held.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("asks", F.lit(False))
+    probes = again.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("asks", F.lit(True))
+    both = dealt.unionByName(probes).withColumn("key", F.lit(0).cast("long"))
+    both = both.repartition("chunk").sortWithinPartitions("chunk")
+    found = both.mapInArrow(_search(neighbours + SLACK), "query_id long, vec_id long, score double")
+    return best.join(short, "query_id", "left_anti").unionByName(_ranked(found, again, held, neighbours))
+
+
+def _ranked(found: DataFrame, asked: DataFrame, held: DataFrame, neighbours: int) -> DataFrame:
+    """The ``neighbours`` best of what was found for each query, by exact scores."""
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by_query = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "vec_id")
     best = best.withColumn("n", F.row_number().over(by_query)).where(F.col("n") <= neighbours + SLACK).select("query_id", "vec_id")
