@@ -1,9 +1,10 @@
-"""Substring de-duplication: seed on winnowed anchors, extend both ways, drop passages that an earlier document holds.
+"""Substring de-duplication: seed on winnowed anchors, compare the windows around open ones, drop passages that an earlier document holds.
 
 A window of ``length`` words holds ``length - gram + 1`` runs of ``gram`` words; the run with the smallest hash, the last
 among equals, is its anchor. Equal windows share their anchor at the same place, so a passage can only repeat around
-anchors that two documents hold. These anchors are joined across documents (the seeds); around each open one the match is
-extended to the left and to the right as far as windows with this anchor reach, by comparing hashes of the whole window.
+anchors that two documents hold. These anchors are joined across documents (the seeds). No pair of places is extended word
+by word: the windows to the left and right that have an open anchor meet by the hash of the whole window, and the
+windows' union is what the maximal matches of ``length`` words or more cover.
 """
 
 from __future__ import annotations
