@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import licences, lines, mixing, neardup, neighbours, quality, substrings, suffixes, templates, toxicity
+from weirflow.llm import (
+    divergence,
+    licences,
+    lines,
+    manifest,
+    mixing,
+    neardup,
+    neighbours,
+    quality,
+    substrings,
+    suffixes,
+    templates,
+    tokens,
+    toxicity,
+)
 from weirflow.llm.logistic import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +192,105 @@ def op3_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return licences.scan(docs, licences.fit(docs)).drop("notice")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    seen = manifest.leaf([F.col(c) + tampered.cast("long") if c == "n_chars" else F.col(c) for c in manifest.FIELDS])
+    rows = manifest.manifest(docs, carried={"seen": seen})
+    return manifest.verify(rows.withColumn("proof_sha256", manifest.proof(F.col("path"))), "seen").drop("path", "seen")
+
+
+SQL["op11_merkle_manifest"] = r"""
+WITH RECURSIVE bits AS (
+  SELECT doc_id, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+fields AS (
+  SELECT d.doc_id, coalesce('=' || lang, '') AS g,
+    coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+    n_chars, n_chars + coalesce((xor(crc, 4294967295) % 7 = 0)::BIGINT, 0) AS seen_chars,
+    coalesce(strlen(text) || ':' || text, '-') AS z
+  FROM documents d LEFT JOIN bits USING (doc_id)),
+leaves AS (
+  SELECT doc_id, g, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) AS leaf,
+    sha256(a || coalesce(strlen(seen_chars::VARCHAR) || ':' || seen_chars, '-') || z) AS seen
+  FROM fields),
+climb AS (
+  SELECT doc_id, leaf, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY g) AS n, leaf AS node, seen AS fold, '' AS proof
+  FROM leaves
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.g, c.idx // 2, (c.n + 1) // 2,
+    sha256(CASE WHEN c.idx % 2 = 0 THEN c.node || coalesce(s.node, '') ELSE s.node || c.node END),
+    sha256(CASE WHEN c.idx % 2 = 0 THEN c.fold || coalesce(s.node, '') ELSE s.node || c.fold END),
+    c.proof || coalesce(s.node, '')
+  FROM climb c LEFT JOIN (SELECT DISTINCT g, idx, node FROM climb) s ON s.g = c.g AND s.idx = xor(c.idx, 1)
+  WHERE c.n > 1),
+groups AS (
+  SELECT g, any_value(node) AS node, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n
+  FROM climb WHERE n = 1 GROUP BY g),
+rise AS (
+  SELECT c.doc_id, c.leaf, c.node AS subroot, t.idx, t.n, c.node, c.fold, c.proof
+  FROM climb c JOIN groups t USING (g) WHERE c.n = 1
+  UNION ALL
+  SELECT r.doc_id, r.leaf, r.subroot, r.idx // 2, (r.n + 1) // 2,
+    sha256(CASE WHEN r.idx % 2 = 0 THEN r.node || coalesce(s.node, '') ELSE s.node || r.node END),
+    sha256(CASE WHEN r.idx % 2 = 0 THEN r.fold || coalesce(s.node, '') ELSE s.node || r.fold END),
+    r.proof || coalesce(s.node, '')
+  FROM rise r LEFT JOIN (SELECT DISTINCT idx, node FROM rise) s ON s.idx = xor(r.idx, 1)
+  WHERE r.n > 1)
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = node AS verified
+FROM rise WHERE n = 1
+"""
+
+
+@query
+def op12_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+used AS (
+  SELECT id, lang, source, translate(unnest(words), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM used GROUP BY ALL),
+kept AS (SELECT lang, term FROM used GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, v::HUGEINT AS v
+  FROM groups g JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+rates AS (
+  SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + v)::HUGEINT AS p FROM dense),
+whole AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(n)::HUGEINT + 1) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v))::HUGEINT AS q
+  FROM dense GROUP BY lang, term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM rates a JOIN rates b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+scored AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b USING (lang) LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  WHERE a.source <> b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM rates JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM scored QUALIFY part = 'pair' OR rank <= 200
+"""
