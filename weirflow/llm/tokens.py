@@ -13,6 +13,7 @@ do not touch each other; the changes of short words are kept for the next text.
 from __future__ import annotations
 
 import functools
+import gc
 import re
 
 import numpy as np
@@ -26,21 +27,40 @@ from weirflow.llm.texts import column, pieces
 
 #: Fixed value: the character that stands for a blank inside the model.
 BLANK = "▁"
-#: Words of at most this length are kept, and at most so many of them; then they are worked out anew.
-WORD_CHARS, KEPT = 64, 300_000
+#: Words of at most this length are kept, and at most so many of them; those met lately stay.
+WORD_CHARS, KEPT = 64, 500_000
+#: States that are kept; then they are worked out anew.
+STATES = 200_000
+
+
+#: What a beginning of a token can be.
+TOKEN, LONGER = 1, 2
+
+
+class State:
+    """What the prefixes read so far leave to be known: for each place where a token has begun that may go on, the token
+    before it, its characters, and how far the count there is behind."""
+
+    __slots__ = ("open", "next")
+
+    def __init__(self, open: tuple[tuple[str, str, int], ...]):
+        self.open, self.next = open, {}
 
 
 class Words(dict):
-    """The changes of the token count over the prefixes of a word; missing words are worked out."""
+    """The changes of the token count over the prefixes of words; missing ones are worked out, and those not met for long go."""
 
     def __init__(self, steps):
         super().__init__()
-        self.steps = steps
+        self.steps, self.older = steps, {}
 
     def __missing__(self, word: str) -> bytes:
-        found = self.steps(word)
+        found = self.older.get(word)
+        if found is None:
+            found = self.steps(word)
         if len(word) <= WORD_CHARS:
-            if len(self) >= KEPT:
+            if len(self) >= KEPT // 2:
+                self.older = dict(self)
                 self.clear()
             self[word] = found
         return found
@@ -52,54 +72,60 @@ class PrefixCounts:
     def __init__(self, model: str):
         import sentencepiece
 
-        library = sentencepiece.SentencePieceProcessor(model_file=model)
+        self.library = library = sentencepiece.SentencePieceProcessor(model_file=model)
         plain = [i for i in range(library.get_piece_size()) if not (library.is_byte(i) or library.is_control(i) or library.is_unknown(i) or library.is_unused(i))]
         self.score = {library.id_to_piece(i): library.get_score(i) for i in plain}
         if library.normalize("ﬁ a") != f"{BLANK}ﬁ{BLANK}a" or any(BLANK in p.lstrip(BLANK) for p in self.score):
             raise ValueError("the model must keep characters as they are, put a blank in front and have none inside its tokens")
-        # every end of a token, and whether it is a token itself: how far back from a position tokens can start
-        self.ends = {p[i:]: False for p in self.score for i in range(len(p))} | dict.fromkeys(self.score, True)
-        # a line end that no token holds stands alone
-        alone = "" if any("\n" in p for p in self.score) else "\n"
+        # every beginning of a token: whether it is one, and whether there is a longer one
+        self.begins = {p[:i]: LONGER for p in self.score for i in range(len(p))}
+        for p in self.score:
+            self.begins[p] = self.begins.get(p, 0) | TOKEN
+        self.states: dict[tuple, State] = {}
+        self.start = State((("", "", 0),))
+        # a character that no token holds stands alone: the line end, if it is one, and one to read tokens behind
+        held = set("".join(self.score))
+        alone = "" if "\n" in held else "\n"
         self.split = re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" + (f"|{alone}+" if alone else "")).findall
+        self.wall = next(c for c in map(chr, range(10, 0x10000)) if c not in held)
+        self.behind = len(library.encode(self.wall))
         self.follows = functools.lru_cache(1_000_000)(self._follows)
         self.words = Words(self.steps)
 
-    def merged(self, text: str) -> list[str]:
-        """The merges of a short text: again and again the two neighbours of the best score, the first ones among equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            scores = [self.score.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
-            best = max(scores)
-            if best == -np.inf:
-                break
-            i = scores.index(best)
-            parts[i : i + 2] = ["".join(parts[i : i + 2])]
-        return parts
-
     def _follows(self, before: str, token: str) -> bool:
-        return self.merged(before + token) == ([before, token] if before else [token])
+        """Whether the library leaves the two as they are; a character without a token is as good as none."""
+        known = [before, token] if before in self.score else [token]
+        return self.library.encode(self.wall + "".join(known), out_type=str)[self.behind :] == known
+
+    def _next(self, state: State, char: str) -> tuple[int, State]:
+        """By how much one more character changes the token count, and the state after it."""
+        token, change, live = char, len(char.encode()), []
+        for before, begun, behind in state.open:
+            text = begun + char
+            kind = self.begins.get(text)
+            if kind is None:
+                continue
+            # exactly one token may stand last; a character without a token is written as its bytes
+            if kind & TOKEN and self.follows(before, text):
+                token, change = text, behind + 1
+            if kind & LONGER:
+                live.append((before, text, behind))
+        key = (*[(before, begun, behind - change) for before, begun, behind in live], (token, "", 0))
+        if key not in self.states:
+            if len(self.states) >= STATES:
+                for known in (self.start, *self.states.values()):
+                    known.next.clear()
+                self.states.clear()
+            self.states[key] = State(key)
+        state.next[char] = found = (change, self.states[key])
+        return found
 
     def steps(self, word: str) -> bytes:
         """By how much the token count changes with each character of a word."""
-        ends, follows = self.ends, self.follows
-        last, counts, changes = [""], [0], bytearray()
-        for end in range(1, len(word) + 1):
-            start, tokens = end - 1, []
-            while start >= 0 and (known := ends.get(word[start:end])) is not None:
-                if known:
-                    tokens.append(start)
-                start -= 1
-            for start in reversed(tokens):
-                if follows(last[start], word[start:end]):
-                    count = counts[start] + 1
-                    break
-            else:  # a character without a token is written as its bytes
-                start = end - 1
-                count = counts[start] + len(word[start].encode())
-            last.append(word[start:end])
-            changes.append((count - counts[-1]) & 255)
-            counts.append(count)
+        state, changes = self.start, bytearray()
+        for char in word:
+            change, state = state.next.get(char) or self._next(state, char)
+            changes.append(change & 255)
         return bytes(changes)
 
     def prefixes(self, text: str) -> bytes:
@@ -132,7 +158,10 @@ def count_tokens(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
         counter = prefix_counts(model)
         for piece in pieces(batches):
             texts = column(piece, "text")
+            # nothing here needs the collector, and its walks over the kept states would take a quarter of the time
+            gc.disable()
             changes = [counter.prefixes(t) if t else b"" for t in texts.to_pylist()]
+            gc.enable()
             totals = [int(np.frombuffer(c, dtype=np.int8).sum(dtype=np.int64)) for c in changes]
             sizes = pc.fill_null(pc.binary_length(texts.cast(pa.large_binary())), 0).cast(pa.int64())
             arrays = [column(piece, "row"), sizes, pa.array(totals, pa.int64()), pa.array(changes, pa.binary())]
