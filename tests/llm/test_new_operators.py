@@ -105,6 +105,16 @@ def test_every_prefix_has_the_librarys_count(library):
         assert counts.tolist() == [len(library.encode(text[:i])) for i in range(1, len(text) + 1)], text
 
 
+def test_counts_stay_exact_when_states_are_dropped(monkeypatch, library):
+    monkeypatch.setattr(tokens, "STATES", 5)
+    monkeypatch.setattr(tokens, "KEPT", 4)
+    counter = tokens.PrefixCounts(MODEL)
+    text = "the theing xxxxx\n\nния  日本 the a<s>b " * 3
+    counts = np.cumsum(np.frombuffer(counter.prefixes(text), dtype=np.int8), dtype=int)
+    assert counts.tolist() == [len(library.encode(text[:i])) for i in range(1, len(text) + 1)]
+    assert len(counter.states) <= 5
+
+
 def test_words_are_kept_within_a_bound(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT", 3)
     words = tokens.Words(lambda word: bytes(len(word)))
@@ -195,10 +205,11 @@ def test_folds_are_sent_before_they_grow(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"lang": ["a"] * 4, "source": ["s", "t", "s", "s"], "text": ["x y", "y z", "x x", "w"]})
     counts = Counter()
     for part in divergence._folds([("a", b"x")], [5])(iter([batch])):
-        assert sum(map(len, part["terms"].to_pylist())) <= 4
+        assert sum(part["size"].to_pylist()) <= 4
         for row in part.to_pylist():
-            assert row["shard"] == 5
-            counts.update({(row["source"], t): n for t, n in zip(row["terms"], row["counts"])})
+            listed, n = row["terms"].split(b" "), np.frombuffer(row["counts"], dtype=np.int64)
+            assert row["shard"] == 5 and row["size"] == len(listed) == len(n)
+            counts.update({(row["source"], t): int(c) for t, c in zip(listed, n)})
     assert counts == {("s", b"x"): 3, ("s", b"y"): 1, ("t", b"y"): 1, ("t", b"z"): 1}
 
 

@@ -128,7 +128,10 @@ def _document_counts(batches):
 
 
 def _folds(bounds: list[tuple[str, bytes]], shards: list[int]):
-    """(shard, lang, source, terms, counts): a task's terms, folded by source and cut by the ranges they fall in."""
+    """(shard, lang, source, size, terms, counts): a task's terms, folded by source and cut by the ranges they fall in.
+
+    The terms of a fold travel as one text with blanks between them, the counts as one run of whole numbers.
+    """
 
     def work(batches):
         held: dict[tuple[str, str], Counter] = defaultdict(Counter)
@@ -144,9 +147,10 @@ def _folds(bounds: list[tuple[str, bytes]], shards: list[int]):
                         listed[0].append(term)
                         listed[1].append(n)
             held.clear()
-            columns = zip(*[(*key, *listed) for key, listed in parts.items()]) if parts else ((),) * 5
-            types = (pa.int32(), pa.string(), pa.string(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["shard", "lang", "source", "terms", "counts"])
+            packed = [(*key, len(n), b" ".join(listed), np.array(n, dtype=np.int64).tobytes()) for key, (listed, n) in parts.items()]
+            columns = zip(*packed) if packed else ((),) * 6
+            types = (pa.int32(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["shard", "lang", "source", "size", "terms", "counts"])
 
         for piece in pieces(batches):
             for lang, source, text in zip(*(column(piece, c).to_pylist() for c in ("lang", "source", "text"))):
@@ -167,8 +171,10 @@ def _recount(key: tuple, known: pd.DataFrame, folds: pd.DataFrame) -> pd.DataFra
         for source, part in folds.groupby("source"):
             n = np.zeros(len(known), dtype=np.int64)
             for listed, counts in zip(part["terms"], part["counts"]):
-                places = np.fromiter(map(transducer.place, listed), dtype=np.int64, count=len(listed))
-                np.add.at(n, places[places >= 0], np.asarray(counts, dtype=np.int64)[places >= 0])
+                places = np.fromiter(map(transducer.place, listed.split(b" ")), dtype=np.int64)
+                known_ones = places >= 0
+                # a fold holds a term once
+                n[places[known_ones]] += np.frombuffer(counts, dtype=np.int64)[known_ones]
             at = np.flatnonzero(n)
             found.append(pd.DataFrame({"lang": lang, "source": source, "shard": shard, "place": at, "n": n[at]}))
     return pd.concat(found) if found else pd.DataFrame(columns=["lang", "source", "shard", "place", "n"])
@@ -246,10 +252,10 @@ def divergence(
     # one row for each range; strings compare by code points here, which is the order of their bytes
     firsts = ranges.groupBy("shard").agg(F.min(F.struct("lang", "term")).alias("first")).orderBy("shard").collect()
     cut = _folds([(r.first.lang, bytes(r.first.term)) for r in firsts], [r.shard for r in firsts])
-    folds = slim.mapInArrow(cut, "shard int, lang string, source string, terms array<binary>, counts array<long>")
+    folds = slim.mapInArrow(cut, "shard int, lang string, source string, size long, terms binary, counts binary")
     folds = _written(folds.withColumn("id", F.monotonically_increasing_id()), "folds")
     # a range that gets more than fold_terms is read by several transducers of the same terms
-    parts = F.ceil(F.sum(F.size("terms")) / fold_terms).cast("int").alias("parts")
+    parts = F.ceil(F.sum("size") / fold_terms).cast("int").alias("parts")
     parts = _written(folds.groupBy("shard", "lang").agg(parts), "fold-parts")
     dealt = folds.join(parts, ["shard", "lang"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
     known = ranges.join(parts, ["shard", "lang"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
