@@ -27,7 +27,7 @@ from weirflow.session import scratch_path
 
 #: Terms of one transducer, terms that a task folds before it sends them, folded terms that one transducer reads, and terms
 #: of one block of sums.
-SHARD_TERMS, FOLDS, FOLD_TERMS, BLOCK_TERMS = 100_000, 200_000, 2_000_000, 4096
+SHARD_TERMS, FOLDS, FOLD_TERMS, BLOCK_TERMS = 100_000, 200_000, 1_000_000, 4096
 SCALE = 1_000_000_000
 #: Characters that belong to no term become blanks, A to Z become a to z; all bytes of other letters stay.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -103,6 +103,18 @@ class Transducer:
             stack.extend((to, term + bytes([byte])) for byte, (to, _) in reversed(self.arcs[state].items()))
 
 
+class Places(dict):
+    """The places of terms, each read through the transducer once."""
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self.read = transducer.place
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = found = self.read(term)
+        return found
+
+
 def _written(rows: DataFrame, label: str) -> DataFrame:
     path = scratch_path(rows.sparkSession, label)
     rows.write.parquet(path)
@@ -167,11 +179,12 @@ def _recount(key: tuple, known: pd.DataFrame, folds: pd.DataFrame) -> pd.DataFra
     shard, lang, _ = key
     found = []
     if len(known):
-        transducer = Transducer(sorted(known["term"]))
+        # at most fold_terms of them
+        place = Places(Transducer(sorted(known["term"]))).__getitem__
         for source, part in folds.groupby("source"):
             n = np.zeros(len(known), dtype=np.int64)
             for listed, counts in zip(part["terms"], part["counts"]):
-                places = np.fromiter(map(transducer.place, listed.split(b" ")), dtype=np.int64)
+                places = np.fromiter(map(place, listed.split(b" ")), dtype=np.int64)
                 known_ones = places >= 0
                 # a fold holds a term once
                 n[places[known_ones]] += np.frombuffer(counts, dtype=np.int64)[known_ones]
