@@ -22,10 +22,11 @@ def drain(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint:
     query.awaitTermination()
 
 
-def run_until_empty(frame: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Write an append-mode result to Parquet files; the file sink records each batch once."""
+def run_until_empty(frame: DataFrame, path: str, checkpoint: str, mode: str = "append", by: Sequence[str] = ()) -> None:
+    """Write an append-mode result to Parquet files, one folder for each value of ``by``; the file sink records each batch once."""
     query = (
         frame.writeStream.format("parquet")
+        .partitionBy(*by)
         .outputMode(mode)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
