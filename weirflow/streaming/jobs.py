@@ -6,13 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from weirflow.operators.ordered import Fold, prefix
 from weirflow.streaming.tables import BatchTable
 
 
-def drain(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Run ``step`` on every micro-batch of what is there now, and return when all is done."""
+def drain(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Run ``step`` on every micro-batch of what is there now, and return the finished query when all is done."""
     query = (
         stream.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
@@ -20,6 +21,18 @@ def drain(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint:
         .start()
     )
     query.awaitTermination()
+    return query
+
+
+def batch_sizes(query: StreamingQuery) -> list[tuple[int, int, int]]:
+    """(batch, rows, milliseconds) of a query's batches that had rows, as Spark recorded them.
+
+    Spark keeps as many as ``spark.sql.streaming.numRecentProgressUpdates``; fewer than there were is an error.
+    """
+    records = query.recentProgress
+    if records and records[0]["batchId"] > 0 and len(records) >= 100:
+        raise ValueError("the first batches are no longer on record")
+    return [(r["batchId"], r["numInputRows"], r["batchDuration"]) for r in records if r["numInputRows"]]
 
 
 def run_until_empty(frame: DataFrame, path: str, checkpoint: str, mode: str = "append", by: Sequence[str] = ()) -> None:

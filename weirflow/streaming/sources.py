@@ -15,12 +15,14 @@ def line_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
 
 
 def table_stream(
-    spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
 ) -> DataFrame:
-    """Rows of the Parquet files that appear in a folder. ``files_per_trigger`` bounds a batch."""
+    """Rows of the Parquet files that appear in a folder. ``files_per_trigger`` or ``bytes_per_trigger`` bounds a batch."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.parquet(folder)
 
 
