@@ -8,7 +8,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("words", "scalars", "relational", "social", "counts", "links", "logs", "sinks", "streams", "timers", "rollups", "models")
+MODULES = ("words", "scalars", "relational", "social", "counts", "links", "logs", "sinks", "streams", "timers", "rollups", "intake", "models")
 
 
 class Tables:

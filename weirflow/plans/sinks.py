@@ -12,7 +12,7 @@ from weirflow.operators.joins import update_fields
 from weirflow.plans.registry import query
 from weirflow.session import scratch_path
 from weirflow.sources import sinks
-from weirflow.sources.readers import decode_topic_payload, libsvm, numbered_lines, parse_pairs, text_lines
+from weirflow.sources.readers import decode_topic_payload, libsvm, numbered_files, parse_pairs, text_lines
 
 
 @query(
@@ -124,10 +124,11 @@ def recursive_text(t):
 
 @query("SELECT p_name AS value, row_number() OVER (ORDER BY p_partkey) AS line_no FROM part")
 def file_line_numbers(t):
-    """Numbers of a file's lines, in the order of the file."""
+    """Numbers of lines along several files, each of which holds a range of the rows in order."""
     path = scratch_path(t.spark, "titles")
-    t.part.orderBy("p_partkey").select(F.col("p_name").alias("value")).coalesce(1).write.text(path)
-    return numbered_lines(t.spark, path).select("value", "line_no")
+    ranges = t.part.repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey")
+    ranges.select(F.col("p_name").alias("value")).write.text(path)
+    return numbered_files(t.spark, path).select("value", "line_no")
 
 
 @query("SELECT CAST(c_nationkey AS DOUBLE) AS label, c_acctbal AS f1, CAST(c_custkey AS DOUBLE) AS f3 FROM customer")

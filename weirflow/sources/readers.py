@@ -33,6 +33,16 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return row_index(lines, ["split_at", "line_id"], ["file"], "line_no", block=F.col("split_at"))
 
 
+def numbered_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines numbered from 1 along all files, in the order of the files' names; the splits are the blocks of the numbering."""
+    lines = spark.read.text(path).select(
+        F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).alias("split"),
+        F.monotonically_increasing_id().alias("line_id"),
+        "value",
+    )
+    return row_index(lines, ["split", "line_id"], [], "line_no", block=F.col("split"))
+
+
 def parse_links(lines: DataFrame) -> DataFrame:
     """``src: d1 d2 …`` to one row per link; a line without targets gives none."""
     halves = F.split(F.col("value"), ":", 2)

@@ -22,16 +22,17 @@ def kafka_rows(df: DataFrame, key: str, value: str, topic: Column, default: str
 
 
 def metric_points(df: DataFrame, metric: Column, ts: str, value: str, tags: Sequence[str]) -> DataFrame:
-    """Time-series points. Delivery may repeat a point, so repeats go; tags are compared as sorted text."""
-    pairs = [F.concat(F.lit(f"{t}="), F.col(t).cast("string")) for t in sorted(tags)]
+    """Time-series points. Delivery may repeat a point, so repeats go; tags are compared name by name, null with null."""
+    pairs = [F.struct(F.lit(t).alias("name"), F.col(t).cast("string").alias("value")) for t in sorted(tags)]
     shaped = df.select(
         metric.alias("metric"),
         F.col(ts).alias("ts"),
         F.col(value).cast("double").alias("value"),
-        F.array_join(F.array(*pairs), ",").alias("tag_text"),
+        F.array_join(F.array(*[F.concat(F.lit(f"{t}="), F.col(t).cast("string")) for t in sorted(tags)]), ",").alias("tag_text"),
+        F.array(*pairs).alias("tag_list"),
         F.create_map(*[c for t in sorted(tags) for c in (F.lit(t), F.col(t).cast("string"))]).alias("tags"),
     )
-    return shaped.dropDuplicates(["metric", "ts", "tag_text"])
+    return shaped.dropDuplicates(["metric", "ts", "tag_list"]).drop("tag_list")
 
 
 def index_documents(
@@ -51,9 +52,10 @@ def index_documents(
     )
 
 
-def text_tuples(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows as text ``(a,b)``."""
-    return df.select(F.concat(F.lit("("), F.concat_ws(",", *columns), F.lit(")")).alias("value"))
+def text_tuples(df: DataFrame, columns: Sequence[str], null: str = "null") -> DataFrame:
+    """Rows as text ``(a,b)``. A null keeps its place, as the text ``null``."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(null)) for c in columns]
+    return df.select(F.concat(F.lit("("), F.concat_ws(",", *fields), F.lit(")")).alias("value"))
 
 
 def write_text(df: DataFrame, path: str, columns: Sequence[str], mode: str = "errorifexists") -> None:

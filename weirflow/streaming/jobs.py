@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -329,6 +329,23 @@ def windowed_counts(stream: DataFrame, ts: str, length: str, slide: str, lag: st
     )
 
 
+def union_windows(streams: Mapping[str, DataFrame], ts: str, length: str, lag: str) -> DataFrame:
+    """Counts per event-time window of several sources in one stream, with the source's name.
+
+    Every source has a watermark of its own. A window is appended when the slowest has passed it, so that a source which lags
+    behind loses no row to the others; this is Spark's policy ``min`` for several watermarks.
+    """
+    if streams and next(iter(streams.values())).sparkSession.conf.get("spark.sql.streaming.multipleWatermarkPolicy") != "min":
+        raise ValueError("the watermark of several sources must be that of the slowest")
+    both = None
+    for name, stream in streams.items():
+        one = _watermarked(stream.select(ts), ts, lag).withColumn("source", F.lit(name))
+        both = one if both is None else both.unionByName(one)
+    window = F.window(ts, length).alias("w")
+    counted = both.groupBy(window, "source").agg(F.count(F.lit(1)).alias("cnt"))
+    return counted.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "source", "cnt")
+
+
 def salted_counts(stream: DataFrame, ts: str, length: str, lag: str, key: str, salt_on: str, salts: int = 8) -> DataFrame:
     """As ``windowed_counts``, with a hot key counted in several parts of the state; add up the rows per
     window and key when reading.

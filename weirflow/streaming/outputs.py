@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirflow.operators.ordered import Fold, prefix
@@ -32,10 +32,11 @@ def rollup_late(
         hour = F.date_format(ts, "yyyy-MM-dd-HH").alias("segment")
         brought = on_time.groupBy(hour, *dims).agg(F.count(F.lit(1)).alias("cnt"), F.sum(value).alias("total"))
         brought = brought.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if newest.batches(spark)[0] != batch_id:
-            # none is there if the batches before brought nothing in time; the first one always has its rows in time
-            old = spark.read.schema(brought.schema).parquet(path).where(F.col("batch_id") < batch_id)
-            old = old.join(brought.select("segment").distinct(), "segment", "left_semi")
+        # one folder for each hour that the batch touches, and no other, is read and replaced
+        touched = [r.segment for r in brought.select("segment").distinct().collect()]
+        held = [f"{path}/segment={hour}" for hour in touched if _exists(spark, f"{path}/segment={hour}")]
+        if held:
+            old = spark.read.schema(brought.schema).option("basePath", path).parquet(*held).where(F.col("batch_id") < batch_id)
             old = old.groupBy(*keys).agg(F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
             brought = brought.unionByName(old.withColumn("batch_id", F.lit(-1).cast("long")))
         brought = brought.hint("rebalance", "segment")
@@ -44,6 +45,11 @@ def rollup_late(
     drain(stream, step, checkpoint)
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def rolled_up(rows: DataFrame, dims: Sequence[str]) -> DataFrame:
     """What the segments of ``rollup_late`` hold, with the hour as a time."""
     hour = F.to_timestamp("segment", "yyyy-MM-dd-HH").cast("timestamp_ntz").alias("hour")
