@@ -14,6 +14,7 @@ asked for are indexed, which loses nothing.
 from __future__ import annotations
 
 import itertools
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,6 @@ from weirflow.llm.texts import column, mix
 from weirflow.session import scratch_path
 
 PROBES = (1, 2, 4, 8, 12, 16, 20, 24, 32, 48, 64, 96, 128)
-SLACK = 12
 HELD_ROWS = 1_000_000
 
 
@@ -148,17 +148,30 @@ def _probe(tables: Tables, at_once: int = 256):
 
 
 def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
-    """The ``most`` best different vectors of each query; scores that differ by rounding count as equal."""
-    order = np.lexsort((vec, -np.round(score, 12), query))
+    """The ``most`` best different vectors of each query, ties to the smaller id; of one id the best score counts."""
+    order = np.lexsort((-score, vec, query))
     query, vec, score = query[order], vec[order], score[order]
     fresh = np.ones(len(query), dtype=bool)
     fresh[1:] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
     query, vec, score = query[fresh], vec[fresh], score[fresh]
+    order = np.lexsort((vec, -score, query))
+    query, vec, score = query[order], vec[order], score[order]
     place = np.arange(len(query)) - np.searchsorted(query, query)
     keep = place < most
     return query[keep], vec[keep], score[keep]
 
 
+def _products(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, at_once: int = 65536) -> np.ndarray:
+    """Inner products of rows of ``a`` and ``b``, summed component by component as Spark does, so that equal is equal."""
+    out = np.zeros(len(i))
+    for start in range(0, len(i), at_once):
+        part = slice(start, start + at_once)
+        total = out[part]
+        for x, y in zip(a[i[part]].T, b[j[part]].T):
+            total += x * y
+    return out
+
+
 def _search(most: int, at_once: int = 512):
     """Exact scores of each bucket's queries against its vectors; the best of each query leave the task."""
 
@@ -168,16 +181,23 @@ def _search(most: int, at_once: int = 512):
         v = np.array(group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(ids), -1)
         held, order = ids[~asks], np.argsort(ids[~asks], kind="stable")
         held, vectors = held[order], v[~asks][order]
-        for start in range(0, int(asks.sum()) if len(held) else 0, at_once):
-            query = ids[asks][start : start + at_once]
-            scores = v[asks][start : start + at_once] @ vectors.T
+        if not len(held):
+            return
+        # rows of one id stand side by side
+        first = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1])))
+        # the matrix product may round in another order: what could be among the best is summed again
+        rounding = 4 * v.shape[1] * np.finfo(float).eps * np.linalg.norm(vectors, axis=1).max()
+        for start in range(0, int(asks.sum()), at_once):
+            query, own = ids[asks][start : start + at_once], v[asks][start : start + at_once]
+            scores = own @ vectors.T
             scores[query[:, None] == held] = -np.inf
-            if len(held) > most:
-                border = -np.partition(-scores, most - 1, axis=1)[:, most - 1 : most]
-                i, j = np.nonzero((np.round(scores, 12) >= np.round(border, 12)) & (scores > -np.inf))
-            else:
-                i, j = np.nonzero(scores > -np.inf)
-            yield _best(query[i], held[j], scores[i, j], most)
+            border = np.full((len(query), 1), -np.inf)
+            if len(first) > most:
+                by_id = np.maximum.reduceat(scores, first, axis=1)
+                border = -np.partition(-by_id, most - 1, axis=1)[:, most - 1 : most]
+                border = border - rounding * np.linalg.norm(own, axis=1)[:, None]
+            i, j = np.nonzero((scores >= border) & (scores > -np.inf))
+            yield _best(query[i], held[j], _products(own, i, vectors, j), most)
 
     def work(batches):
         kept: list[tuple[np.ndarray, ...]] = []
@@ -243,18 +263,21 @@ def nearest(
 
     empty = "query_id long, rank int, vec_id long, score double"
     held = plain(vectors)
-    sizes = held.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("square"))
+    sizes = held.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows"), F.max(F.array_max(F.transform("v", F.abs))).alias("largest"))
     most = sizes.orderBy(F.desc("rows"), F.desc("n")).first()
     if most is None:
         return spark.createDataFrame([], empty)
-    held = held.where(F.size("v") == most.n).distinct()
-    asked = plain(queries).where(F.size("v") == most.n).distinct()
+    # by a power of two, which loses nothing, so that the largest component is near 1 and no sum overflows
+    exponent = math.frexp(most.largest)[1]
+    held = _scaled(held.where(F.size("v") == most.n).distinct(), exponent)
+    asked = _scaled(plain(queries).where(F.size("v") == most.n).distinct(), exponent)
     copies = Window.partitionBy("v").orderBy("id")
     held = held.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= neighbours + 1).drop("_copy")
     path = scratch_path(spark, "vectors")
     held.write.parquet(path)
     held = spark.read.parquet(path)
-    fitted = Tables(float(most.square) ** 0.5, most.n, **tables)
+    square = held.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
+    fitted = Tables(float(square) ** 0.5, most.n, **tables)
     picked = held.orderBy(F.md5(F.col("id").cast("string")), "id").limit(sample).collect()
     if "probes" not in tables:
         fitted = fit_probes(fitted, np.array([r.v for r in picked], dtype=np.float64), neighbours)
@@ -268,10 +291,10 @@ def nearest(
     probes = asked.mapInArrow(_probe(fitted), row).join(chunks, "key").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     both = dealt.withColumn("asks", F.lit(False)).unionByName(probes.withColumn("asks", F.lit(True))).drop("chunks")
     both = both.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
-    found = both.mapInArrow(_search(neighbours + SLACK), "query_id long, vec_id long, score double")
+    found = both.mapInArrow(_search(neighbours), "query_id long, vec_id long, score double")
 
     path = scratch_path(spark, "nearest")
-    _ranked(found, asked, held, neighbours).write.parquet(path)
+    _ranked(found, asked, held, neighbours, exponent).write.parquet(path)
     best = spark.read.parquet(path)
 
     # a query's candidates are all ids but its own; whoever got fewer than there are is compared with all vectors
@@ -291,19 +314,28 @@ def nearest(
     probes = again.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("asks", F.lit(True))
     both = dealt.unionByName(probes).withColumn("key", F.lit(0).cast("long"))
     both = both.repartition("chunk").sortWithinPartitions("chunk")
-    found = both.mapInArrow(_search(neighbours + SLACK), "query_id long, vec_id long, score double")
-    return best.join(short, "query_id", "left_anti").unionByName(_ranked(found, again, held, neighbours))
+    found = both.mapInArrow(_search(neighbours), "query_id long, vec_id long, score double")
+    return best.join(short, "query_id", "left_anti").unionByName(_ranked(found, again, held, neighbours, exponent))
+
+
+def _halves(exponent: int) -> tuple[float, float]:
+    """Two powers of two whose product is 2 ** exponent; one alone may be too large or too small for a double."""
+    return math.ldexp(1.0, exponent // 2), math.ldexp(1.0, exponent - exponent // 2)
 
 
-def _ranked(found: DataFrame, asked: DataFrame, held: DataFrame, neighbours: int) -> DataFrame:
-    """The ``neighbours`` best of what was found for each query, by exact scores."""
+def _scaled(rows: DataFrame, exponent: int) -> DataFrame:
+    a, b = _halves(-exponent)
+    return rows.withColumn("v", F.transform("v", lambda x: x * a * b))
+
+
+def _ranked(found: DataFrame, asked: DataFrame, held: DataFrame, neighbours: int, exponent: int) -> DataFrame:
+    """The ``neighbours`` best of what was found for each query, with the scores of the vectors as they were given."""
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    by_query = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "vec_id")
-    best = best.withColumn("n", F.row_number().over(by_query)).where(F.col("n") <= neighbours + SLACK).select("query_id", "vec_id")
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = best.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= neighbours).drop("score")
     best = best.join(asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
     best = best.join(held.select(F.col("id").alias("vec_id"), "v"), "vec_id")
-    product = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    best = best.select("query_id", "vec_id", product.alias("score")).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = best.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= neighbours)
-    return best.select("query_id", "rank", "vec_id", "score")
+    a, b = _halves(exponent)
+    product = F.aggregate(F.zip_with("q", "v", lambda x, y: (x * a * b) * (y * a * b)), F.lit(0.0), lambda s, x: s + x)
+    best = best.select("query_id", "rank", "vec_id", product.alias("score"))
+    return best.groupBy("query_id", "rank", "vec_id").agg(F.max("score").alias("score"))
