@@ -157,7 +157,8 @@ def drop_repeated_lines(
     # written, so that a join with a frequent line can be cut: beside a bucketed table it could not
     path = scratch_path(spark, "settled")
     runs.settled().write.parquet(path)
-    gone = lines.join(spark.read.parquet(path), HASH).where("k < keeper").groupBy("k", "th").agg(F.collect_list("at").alias("gone"))
+    # rows of one key have equal lines: a set brings each line's places once, however many rows there are
+    gone = lines.join(spark.read.parquet(path), HASH).where("k < keeper").groupBy("k", "th").agg(F.collect_set("at").alias("gone"))
     rows = docs.select(k, th, F.col(text).alias("text"), columns.alias("row")).join(gone, ["k", "th"], "left")
     out = StructType([StructField("row", docs.schema), *StructType.fromDDL("kept string, n_lines long, n_dropped long")])
     return rows.select("text", "gone", "row").mapInArrow(_rest, out)
