@@ -1,6 +1,7 @@
 """The corpus operators against brute force on small tables, with nulls, empty and long texts, ties, repeated rows and odd columns."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -110,6 +111,17 @@ def test_lines_match_brute_force(spark):
     assert "É" in lines.drop_repeated_lines(table(spark, [(1, "É")])).first().kept
 
 
+def test_equal_rows_drop_each_line_once(spark):
+    line = "a line of forty characters or more, for sure"
+    rows = [(i, f"{line}\nown {i}\n{line} ") for i in range(1, 7)] + [(2, f"{line}\nown 2\n{line} ")] * 3
+    got = lines.digest(lines.drop_repeated_lines(table(spark, rows)))
+    want = Counter()
+    for i, text in rows:
+        kept = text if i == 6 else f"own {i}"
+        want[(i, 3, 0 if i == 6 else 2, hashlib.sha256(kept.encode()).hexdigest())] += 1
+    assert Counter(tuple(r) for r in got.collect()) == want
+
+
 def test_runs_are_compacted_by_level(spark):
     runs = lines.LineRuns(spark, 2, min_docs=2, fanout=2)
     for batch in ([(1, 1, 9), (2, 2, 9)], [(1, 1, 8)], [(1, 1, 7), (3, 3, 7)]):
@@ -427,6 +439,35 @@ def test_neighbours_by_brute_force(spark):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("scale", [1e-160, 1e-12, 1.0, 1e8, 1e160])
+def test_neighbours_do_not_depend_on_the_scale(spark, scale):
+    rows = vectors(200, 8, 3)
+    v = np.array([x for _, x in rows])
+    # 30 vectors that differ from the best one in the last bits only, and copies of it
+    v = np.concatenate((v, v[7] * 3 * (1 + np.arange(30)[:, None] * 2.0**-50), np.repeat(v[7:8] * 4, 6, axis=0)))
+    held = spark.createDataFrame([(i, (x * scale).tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(3)
+    # the components as the table holds them, in a scale that does not overflow
+    v = np.array([(x * scale) * 2.0 ** -math.frexp(scale)[1] for x in v])
+    got = neighbours.nearest(held, held.where("vec_id in (7, 40, 205)"), 20, chunk=40, probes=128).collect()
+    for q in (7, 40, 205):
+        scores = np.zeros(len(v))
+        for a, b in zip(v.T, v[q]):
+            scores += b * a
+        scores[q] = -np.inf
+        want = np.lexsort((np.arange(len(v)), -scores))[:20].tolist()
+        found = [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q]
+        assert len(set(found) & set(want)) >= 18, (q, found, want)
+        assert found == sorted(found, key=lambda i: (-scores[i], i))
+
+
+def test_one_id_with_many_vectors_takes_one_place(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(30)] + [(99, (rng.normal(size=4) + 5).tolist()) for _ in range(40)]
+    held = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(held, held.where("vec_id = 3"), 5, chunk=200, probes=1, tables=1, functions=1, width=1e6).collect()
+    assert len({r.vec_id for r in got}) == len(got) == 5
+
+
 @pytest.mark.parametrize("n", [21, 10, 300])
 def test_every_query_gets_all_its_neighbours(spark, n):
     rng = np.random.default_rng(1)

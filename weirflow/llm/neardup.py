@@ -24,6 +24,8 @@ from weirflow.session import scratch_path
 BANDS, ROWS, STEP = 24, 4, 16
 CHUNK = 1024
 SHARD_BYTES = 24_000_000
+#: Text that is hashed at once: the numbers of all its words and values take some ten times as much.
+SIGN_BYTES = 400_000
 _SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 SLOPES, SHIFTS = _SEEDS[::2] | np.uint64(1), _SEEDS[1::2]
 
@@ -75,7 +77,7 @@ class Shingles:
 
 def _sign(n: int):
     def work(batches):
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=SIGN_BYTES):
             s = Shingles(column(piece, "text"), n)
             keep = s.n_words > 0
             signatures = s.signatures()[keep]
@@ -87,6 +89,8 @@ def _sign(n: int):
                 key = mix(key * np.uint64(31) + bands[:, :, r])
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1) * BANDS, pa.int32()), pa.array(key.ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays([*arrays, lists], names=["k", "th", "c", "signature", "keys"])
+            del s, arrays, bands, key, lists
+            pa.default_memory_pool().release_unused()
 
     return work
 
