@@ -11,7 +11,8 @@ never become one. Windows on one alignment (shift) belong together; consistent o
 inserted, deleted and edited words cost the tokens next to them only.
 
 Only built-in functions are used. A window can only match where its rarest literal words stand, so documents are first
-picked by these; the frequencies are counted over all documents. Only the picked ones become tokens and are compared. The
+picked by these and by the words around them, up to the next name or unit; the frequencies are counted over all documents. Only
+the picked ones become tokens and are compared. The
 benchmark goes in blocks, so that what is broadcast has a fixed bound however large the benchmark is.
 """
 
@@ -55,7 +56,7 @@ def _capital(word: Column) -> Column:
 
 def _inside(before: Column) -> Column:
     """Whether a word after ``before`` stands inside a sentence."""
-    return before.isNotNull() & ~F.coalesce(before.rlike(r"""[.!?:]["'”’»)]*$"""), F.lit(True))
+    return before.isNotNull() & ~F.coalesce(F.right(F.rtrim(before, F.lit("\"'”’»)")), F.lit(1)).isin(*".!?:"), F.lit(True))
 
 
 def _words(text: Column) -> Column:
@@ -68,13 +69,18 @@ def _once(value: Column) -> Column:
 
 
 def vocabulary(words: DataFrame) -> DataFrame:
-    """(word, often, ordinary) of all words in the arrays ``words``."""
+    """(word, often, ordinary) of all words in the arrays ``words``. Equal spellings are counted before they are looked into."""
     each = words.select("words", F.posexplode("words").alias("pos", "raw"))
     before = F.when(F.col("pos") > 0, F.get("words", F.col("pos") - 1))
-    capital = _capital(F.col("raw"))
+    inside = F.when(F.col("raw") != F.lower("raw"), _inside(before)).otherwise(False)
+    spelt = each.select("raw", inside.alias("inside")).groupBy("raw", "inside").agg(F.count("*").alias("n"))
     lower = core(F.col("raw")) == F.btrim(F.col("raw"), F.lit(PUNCTUATION))
-    each = each.select(core(F.col("raw")).alias("word"), lower.alias("lower"), F.when(capital, _inside(before)).otherwise(False).alias("inside"))
-    counts = each.groupBy("word").agg(F.count("*").alias("often"), F.count_if("lower").alias("lower"), F.count_if("inside").alias("inside"))
+    spelt = spelt.select(core(F.col("raw")).alias("word"), "n", lower.alias("lower"), (F.col("inside") & _capital(F.col("raw"))).alias("inside"))
+
+    def total(flag: str) -> Column:
+        return F.sum(F.when(F.col(flag), F.col("n")).otherwise(0))
+
+    counts = spelt.groupBy("word").agg(F.sum("n").alias("often"), total("lower").alias("lower"), total("inside").alias("inside"))
     return counts.select("word", "often", ((F.col("lower") > 0) & (F.col("lower") >= F.col("inside"))).alias("ordinary"))
 
 
@@ -139,28 +145,56 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
 
 
 def _probes(windows: DataFrame, known: DataFrame) -> DataFrame:
-    """(wh, size, word, offset, word2, apart): the rarest literal of each window, and the rarest that stands at a sure distance of it.
+    """(wh, size, word, offset, word2, apart, before, run): the rarest literal of each window, the rarest at a sure distance of it, and all around it.
 
-    A name or unit in between makes the distance unsure, since both can be more or fewer words in a text.
+    A name or unit in between makes the distance unsure, since both can be more or fewer words in a text. ``run`` holds the tokens
+    from the last unsure one to the next, ``before`` of them before the rarest literal; numbers in it are null.
     """
     literal = windows.select("wh", "size", "forms", F.posexplode("forms").alias("offset", "f")).where("f.value IS NULL")
-    literal = literal.select("wh", "size", F.transform("forms", lambda x: x.value.isNotNull() & (x.form != "<num>")).alias("loose"), "offset", F.col("f.form").alias("word")).distinct()
+    loose = F.transform("forms", lambda x: x.value.isNotNull() & (x.form != "<num>")).alias("loose")
+    said = F.transform("forms", lambda x: F.when(x.value.isNull(), x.form)).alias("said")
+    literal = literal.select("wh", "size", loose, said, "offset", F.col("f.form").alias("word")).distinct()
     literal = literal.join(known.select("word", "often"), "word", "left").withColumn("often", F.coalesce("often", F.lit(0).cast("long")))
-    probes = literal.groupBy("wh", "size").agg(F.array_sort(F.collect_list(F.struct("often", "word", "offset"))).alias("r"), F.first("loose").alias("loose"))
+    sorted_ = F.array_sort(F.collect_list(F.struct("often", "word", "offset"))).alias("r")
+    probes = literal.groupBy("wh", "size").agg(sorted_, F.first("loose").alias("loose"), F.first("said").alias("said"))
     first = F.col("r")[0]
     low, high = (lambda x, f=f: f(x.offset, first.offset) for f in (F.least, F.greatest))
     sure = F.filter(F.slice("r", 2, 2**31 - 1), lambda x: ~F.exists(F.slice("loose", low(x) + 1, high(x) - low(x)), lambda y: y))
-    probes = probes.select("wh", "size", first.word.alias("word"), first.offset.alias("offset"), F.get(sure, F.lit(0)).alias("s"))
-    return probes.select("wh", "size", "word", "offset", F.col("s.word").alias("word2"), (F.col("s.offset") - F.col("offset")).alias("apart"))
-
-
-def _picked(words: DataFrame, probes: DataFrame) -> DataFrame:
-    """(k, th) of the documents in whose words a window's probes stand."""
-    probes = probes.select("word", "word2", "apart").distinct()
+    unsure = F.filter(F.sequence(F.lit(0), F.size("loose") - 1), lambda i: F.get("loose", i))
+    opens = F.coalesce(F.array_max(F.filter(unsure, lambda i: i < first.offset)) + 1, F.lit(0))
+    ends = F.coalesce(F.array_min(F.filter(unsure, lambda i: i > first.offset)), F.size("loose"))
+    probes = probes.select("wh", "size", first.word.alias("word"), first.offset.alias("offset"), F.get(sure, F.lit(0)).alias("s"), "said", opens.alias("opens"), ends.alias("ends"))
+    return probes.select(
+        "wh",
+        "size",
+        "word",
+        "offset",
+        F.col("s.word").alias("word2"),
+        (F.col("s.offset") - F.col("offset")).alias("apart"),
+        (F.col("offset") - F.col("opens")).alias("before"),
+        F.slice("said", F.col("opens") + 1, F.col("ends") - F.col("opens")).alias("run"),
+    )
+
+
+def _picked(words: DataFrame, probes: DataFrame, window: int) -> DataFrame:
+    """(k, th) of the documents in whose words a window's probes stand, with all of the run around them."""
+    probes = probes.groupBy("word", "word2", "apart").agg(F.collect_set(F.struct("before", "run")).alias("runs"))
     placed = words.select("k", "th", "words", F.posexplode("words").alias("pos", "raw")).withColumn("word", core(F.col("raw"))).drop("raw")
     hits = placed.join(F.broadcast(probes), "word")
     hits = hits.where(F.col("word2").isNull() | (core(F.get("words", F.col("pos") + F.col("apart"))) == F.col("word2")))
-    return hits.select("k", "th").distinct()
+    # only the words that a window around the place can reach leave the join
+    first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
+    near = F.slice("words", first + 1, F.lit(2 * window - 1))
+    hits = hits.select("k", "th", "runs", near.alias("near"), (F.col("pos") - first).alias("at"))
+    hits = hits.select("k", "th", "runs", "at", _once(F.transform("near", core)).alias("near"))
+
+    def stands(r: Column) -> Column:
+        start = F.col("at") - r.before
+        inside = (start >= 0) & (start + F.size(r.run) <= F.size("near"))
+        same = F.zip_with(r.run, F.slice("near", F.greatest(start, F.lit(0)) + 1, F.size(r.run)), lambda a, b: a.isNull() | a.eqNullSafe(b))
+        return F.when(inside, F.forall(same, lambda x: x)).otherwise(False)
+
+    return hits.select("k", "th", _once(F.exists("runs", stands)).alias("stands")).where("stands").select("k", "th").distinct()
 
 
 def leaks(
@@ -200,7 +234,7 @@ def leaks(
         blocks = max(1, -(-total // block_windows))
         for block in range(blocks):
             part = windows.where((F.col("verbatim") == verbatim) & (F.pmod(F.xxhash64("wh"), F.lit(blocks)) == block))
-            one = _matches(texts, part, known, verbatim)
+            one = _matches(texts, part, known, verbatim, window)
             found = one if found is None else found.unionByName(one)
     path = scratch_path(spark, "leaks")
     found.write.parquet(path)
@@ -233,27 +267,29 @@ def _consistent(slots: Column) -> Column:
     return (ours == F.size(slots)) & (theirs == F.size(slots))
 
 
-def _matches(texts: DataFrame, windows: DataFrame, known: DataFrame, verbatim: bool) -> DataFrame:
+def _matches(texts: DataFrame, windows: DataFrame, known: DataFrame, verbatim: bool, window: int) -> DataFrame:
     """Where windows of one block stand: (k, th, item_id, item, n, size, start, shift, slots)."""
     probes = _probes(windows, known)
     if verbatim:
         # a token's first word, as it is after a glued unit is cut off
         words = texts.select("k", "th", _words(F.regexp_replace("text", GLUED, "$1 $2")).alias("words"))
         value = F.regexp_replace("word", "^<(num|unit|name)>", "")
-        picked = _picked(words, probes.select(F.substring_index(value, " ", 1).alias("word"), F.lit(None).cast("string").alias("word2"), "apart"))
+        alone = (F.lit(None).cast("string").alias("word2"), F.lit(0).alias("apart"), F.lit(0).alias("before"), F.array().cast("array<string>").alias("run"))
+        picked = _picked(words, probes.select(F.substring_index(value, " ", 1).alias("word"), *alone), window)
     else:
-        picked = _picked(texts.select("k", "th", _words(F.col("text")).alias("words")), probes)
+        picked = _picked(texts.select("k", "th", _words(F.col("text")).alias("words")), probes, window)
     forms = tokens(texts.join(picked, ["k", "th"], "left_semi"), ["k", "th"], known)
     if verbatim:
         forms = forms.select("k", "th", _once(_verbatim("forms")).alias("forms"))
     placed = forms.select("k", "th", "forms", F.posexplode("forms").alias("pos", "t")).where("t.value IS NULL").withColumn("word", F.col("t.form")).drop("t")
     start = F.col("pos") - F.col("offset")
-    hits = placed.join(F.broadcast(probes), "word").where((start >= 0) & (start + F.col("size") <= F.size("forms")))
+    hits = placed.join(F.broadcast(probes.drop("before", "run")), "word").where((start >= 0) & (start + F.col("size") <= F.size("forms")))
     hits = hits.where(F.col("word2").isNull() | (F.get("forms", F.col("pos") + F.col("apart")).form == F.col("word2")))
     # the forms are made by a generator, so that the join stays compiled and no row copies its document's tokens
     hits = hits.select("k", "th", "wh", start.alias("at"), _once(F.slice("forms", start + 1, F.col("size"))).alias("forms"))
     hits = hits.where(_hash(F.col("forms")) == F.col("wh"))
     theirs = windows.select("wh", "item_id", "item", "n", "size", "start", F.col("forms").alias("item_forms"))
     pair = F.zip_with("item_forms", "forms", lambda a, b: F.struct(a.form.alias("kind"), a.value.alias("ours"), b.value.alias("theirs")))
-    both = hits.join(F.broadcast(theirs), "wh").where(F.transform("forms", lambda x: x.form) == F.transform("item_forms", lambda x: x.form))
+    # a template can be that of most items, so the items have no bound: adaptive execution broadcasts them if they are few
+    both = hits.join(theirs, "wh").where(F.transform("forms", lambda x: x.form) == F.transform("item_forms", lambda x: x.form))
     return both.select("k", "th", "item_id", "item", "n", "size", "start", (F.col("at") - F.col("start")).alias("shift"), F.filter(pair, lambda s: s.ours.isNotNull()).alias("slots"))
