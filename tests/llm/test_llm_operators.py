@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -511,6 +512,54 @@ def test_equal_vectors_tie_by_id(spark):
     assert neighbours.nearest(held.limit(0), held, 3).count() == 0
 
 
+def test_unlisted_licences_are_unknown(spark):
+    plain = [(i, f"the river {i} ran past the old mill and the children of town {i % 17} sat by it") for i in range(200)]
+    unlisted = [
+        "Licensed under the Boost Software License, Version 1.0.",
+        "This work is licensed under the Eclipse Distribution License, version 1.0.",
+        "Released under the Zlib License.",
+    ]
+    listed = [(family, text) for family, texts in licences.TEMPLATES.items() for text in texts]
+    long = " ".join(["the mill by the river was old"] * 30)
+    docs = plain + [(1000 + i, text) for i, text in enumerate(unlisted)] + [(2000 + i, text) for i, (_, text) in enumerate(listed)]
+    docs += [(3000, f"{long} {listed[0][1]} {long}"), (2000, listed[0][1]), (None, listed[0][1])]
+    model = licences.fit(table(spark, docs))
+    rows = licences.scan(table(spark, docs), model).collect()
+    found = {r.doc_id: r.family for r in rows}
+    assert 0 < model.least_own < 1
+    assert all(found.get(1000 + i, licences.UNKNOWN) == licences.UNKNOWN for i in range(len(unlisted)))
+    assert found[1000] == licences.UNKNOWN
+    assert {2000 + i: family for i, (family, _) in enumerate(listed)} == {k: v for k, v in found.items() if k is not None and 2000 <= k < 3000}
+    assert found[None] == listed[0][0] and sum(r.doc_id == 2000 for r in rows) == 2
+    assert not any(k is not None and k < 1000 for k in found)
+    assert found.get(3000, listed[0][0]) in (listed[0][0], licences.UNKNOWN)
+
+
+def test_masked_notices_and_weighed_shares(spark):
+    few = defaultdict(set)
+    words = lambda text: [w for w in re.split(r"[^\w.+-]+|\.(?!\w)", text.lower()) if w]
+    for family, texts in licences.TEMPLATES.items():
+        for text in texts:
+            for w in words(text):
+                few[w].add(family)
+    for r in licences.varied_notices(spark, 2).where("family = 'unknown'").collect():
+        kept = [w for w in r.words if w in few]
+        assert all(len(few[w]) > licences.FEW for w in kept) and len(kept) >= len(r.words) / 2
+    grams = lambda ws: set(ws) | {" ".join(p) for p in zip(ws, ws[1:])}
+    uses = defaultdict(set)
+    for family, texts in licences.TEMPLATES.items():
+        for text in texts:
+            for g in grams(words(text)):
+                uses[g].add(family)
+    weight = lambda gs: sum(1 / len(uses[g]) ** 2 if g in uses else 1 for g in gs)
+    ours = grams(words("Licensed under the Boost Software License, Version 1.0."))
+    each = [grams(words(t)) for t in licences.TEMPLATES["Apache-2.0"]]
+    want = max(weight(t & ours) / min(weight(t), weight(ours)) for t in each)
+    told = licences.known_templates(spark).where("predicted = 'Apache-2.0'").withColumn("grams", F.array(*map(F.lit, sorted(ours))))
+    got = told.select(F.array_max(F.transform("known", lambda t: licences.own_similarity(t, F.col("grams")))).alias("own")).first().own
+    assert got == pytest.approx(want) and want < 0.2
+
+
 def test_licences(spark):
     rows, _ = labelled(5, 120)
     notices = [(900, "Released under the MIT License."), (901, "an er\nLicensed under the Apache License, Version 2.0.\nst"), (902, "This work is licensed under the GNU General Public License, version 3.")]
