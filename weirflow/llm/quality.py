@@ -1,8 +1,8 @@
 """Quality from random-indexing word vectors and a small network.
 
 Words and runs of marks are tokens; beside its hash, a token has a shape (capitals, digits, length). Every bucket of tokens
-has a sparse random index vector, and its context vector is the sum of the index vectors found next to it in the training
-sample. A document is the mean of its tokens' context vectors, with the concentration of its index vectors (how much it
+has a sparse random index vector, and its context vector is the sum of the index vectors found next to it in all documents,
+labelled or not: each task adds up its own part of the corpus, and the parts are added by bucket. A document is the mean of its tokens' context vectors, with the concentration of its index vectors (how much it
 repeats itself) and its length. A network of two layers turns this into a probability, calibrated by a temperature on
 documents that the network was not trained on.
 """
@@ -21,6 +21,8 @@ from weirflow.llm.logistic import labelled_sample, sigmoid
 from weirflow.llm.texts import IS_SPACE, byte_runs, column, pieces, utf8
 
 BUCKETS, SHAPES, DIMENSIONS, NONZERO, HIDDEN = 1 << 14, 128, 48, 6, 24
+#: Bytes of text at once: their vectors stay in a processor's cache.
+PIECE = 250_000
 
 _CODE = np.arange(256)
 IS_UPPER = (_CODE >= 65) & (_CODE <= 90)
@@ -63,12 +65,16 @@ class Tokens:
 
 def _mean(table: np.ndarray, tokens: Tokens) -> np.ndarray:
     """The mean of the rows' tokens' vectors, shapes included; zeros for rows without tokens."""
-    out = np.zeros((len(tokens.at) - 1, table.shape[1]), dtype=np.float64)
     sizes = np.diff(tokens.at)
+    out = np.zeros((len(sizes), table.shape[1]), dtype=np.float64)
     filled = np.flatnonzero(sizes)
     if len(filled):
-        for bucket in (tokens.token, tokens.shape):
-            out[filled] += np.add.reduceat(table[bucket], tokens.at[:-1][filled], axis=0)
+        out[filled] = np.add.reduceat(table[tokens.token], tokens.at[:-1][filled], axis=0)
+        # few shapes: count them by row, and add their vectors by the counts, one by one, so that a row's sum is its own
+        shape = np.repeat(np.arange(len(sizes)) * SHAPES, sizes) + (tokens.shape - (BUCKETS - SHAPES))
+        counts = np.bincount(shape, minlength=len(sizes) * SHAPES).reshape(len(sizes), SHAPES)
+        for i in np.flatnonzero(counts.any(axis=0)):
+            out += counts[:, i, None] * table[BUCKETS - SHAPES + i].astype(np.float64)
         out[filled] /= sizes[filled, None]
     return out
 
@@ -90,22 +96,57 @@ class Model:
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.layers
-        return np.tanh((x - self.center) / self.scale @ w1 + b1) @ w2 + b2
+        # matrix products would make a row's last digits depend on how many rows come with it
+        hidden = np.tanh(np.add.reduce(((x - self.center) / self.scale)[:, :, None] * w1, axis=1) + b1)
+        return np.add.reduce(hidden * w2, axis=1) + b2
 
     def scores(self, data: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> np.ndarray:
         return sigmoid(self.logits(self.features(data, offsets, index)) / self.temperature)
 
 
-def _add_contexts(out: np.ndarray, tokens: Tokens, index: np.ndarray, reach: int = 2) -> None:
-    """Add to each bucket the index vectors of the tokens and shapes next to it."""
-    row = np.repeat(np.arange(len(tokens.at) - 1), np.diff(tokens.at))
-    for step in range(1, reach + 1):
-        near = np.flatnonzero(row[step:] == row[:-step]) if len(row) > step else row[:0]
-        for a, b in ((near, near + step), (near + step, near)):
-            for mine in (tokens.token[a], tokens.shape[a]):
-                for other in (tokens.token[b], tokens.shape[b]):
-                    pair, count = np.unique(mine * BUCKETS + other, return_counts=True)
-                    np.add.at(out, pair // BUCKETS, index[pair % BUCKETS] * count[:, None])
+def add_contexts(out: np.ndarray, tokens: Tokens, index: np.ndarray, reach: int = 2, block: int = 1 << 13) -> None:
+    """Add to each bucket, whole numbers, the index vectors of the tokens and shapes up to ``reach`` places from it in its row."""
+    sizes = np.diff(tokens.at)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    # rows are set apart by ``reach`` empty places, whose bucket comes last and has no vector
+    place = np.arange(len(row)) + reach * (row + 1)
+    token = np.full(len(row) + reach * (len(sizes) + 1), BUCKETS, dtype=np.int16)
+    shape = token.copy()
+    token[place], shape[place] = tokens.token, tokens.shape
+    index = np.concatenate((index, np.zeros((1, DIMENSIONS), dtype=index.dtype)))
+    for start in range(reach, len(token) - reach, block):
+        end = min(len(token) - reach, start + block)
+        vectors = index[token[start - reach : end + reach]] + index[shape[start - reach : end + reach]]
+        near = sum(vectors[step : step + end - start] for step in range(2 * reach + 1) if step != reach)
+        for buckets in (token[start:end], shape[start:end]):
+            order = np.argsort(buckets, kind="stable")
+            found = buckets[order]
+            first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+            # a block's sums are far below 2**24, so they are exact
+            sums = np.add.reduceat(near[order], first, axis=0).astype(np.int64)
+            real = found[first] < BUCKETS
+            out[found[first][real]] += sums[real]
+
+
+def contexts(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """The context sums of all buckets over all documents, the same for any partitioning. Null and empty texts add nothing.
+
+    A task sends at most a row for each bucket, so what is shuffled has a bound for each task; the result has a fixed size.
+    """
+    names = [f"d{i}" for i in range(DIMENSIONS)]
+
+    def work(batches):
+        index, out = index_vectors(), np.zeros((BUCKETS, DIMENSIONS), dtype=np.int64)
+        for piece in pieces(batches, limit=PIECE):
+            add_contexts(out, Tokens(*utf8(column(piece, "text"))), index)
+        met = np.flatnonzero(out.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(met), *(pa.array(out[met, i]) for i in range(DIMENSIONS))], names=["bucket", *names])
+
+    parts = docs.select(F.col(text).alias("text")).mapInArrow(work, ", ".join(f"{n} long" for n in ["bucket", *names]))
+    total = parts.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    out = np.zeros((BUCKETS, DIMENSIONS))
+    out[total["bucket"].to_numpy()] = np.column_stack([total[n].to_numpy() for n in names])
+    return out
 
 
 def _train_network(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int, decay: float, seed: int) -> tuple[np.ndarray, ...]:
@@ -145,8 +186,8 @@ def _pieces(sample: list[tuple[bytes, int]], limit: int = 1_000_000):
             held, size = [], 0
 
 
-def train(sample: list[tuple[bytes, int]], totals: dict[int, int], rounds: int = 300, decay: float = 1e-3) -> Model:
-    """A model from (text, label) pairs; ``totals`` are the numbers of labels of each class that the sample stands for.
+def train(sample: list[tuple[bytes, int]], totals: dict[int, int], context: np.ndarray, rounds: int = 300, decay: float = 1e-3) -> Model:
+    """A model from (text, label) pairs and context sums; ``totals`` are the numbers of labels of each class that the sample stands for.
 
     Without both labels every score is the share of label 1 (a half without any).
     """
@@ -157,9 +198,6 @@ def train(sample: list[tuple[bytes, int]], totals: dict[int, int], rounds: int =
         logit = 0.0 if not len(y) else (6.0 if y[0] else -6.0)
         flat = (np.zeros((width, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.array([logit]))
         return Model(np.zeros((BUCKETS, DIMENSIONS), np.float32), np.zeros(width), np.ones(width), flat, 1.0)
-    context = np.zeros_like(index, dtype=np.float64)
-    for piece in _pieces(sample):
-        _add_contexts(context, Tokens(*piece), index)
     context = (context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)).astype(np.float32)
     bare = Model(context, np.zeros(width), np.ones(width), (), 1.0)
     x = np.concatenate([bare.features(*piece, index) for piece in _pieces(sample)])
@@ -172,8 +210,8 @@ def train(sample: list[tuple[bytes, int]], totals: dict[int, int], rounds: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, use: Column, label: str = "quality", doc_id: str = "doc_id", text: str = "text", per_class: int = 1500, max_bytes: int = 6_000_000) -> Model:
-    """A model, word vectors included, from at most ``per_class`` labelled documents of each class (see ``labelled_sample``)."""
-    return train(*labelled_sample(docs, labels, label, doc_id, text, use, per_class, max_bytes))
+    """A model: word vectors from all documents, the network from at most ``per_class`` labelled ones of each class (see ``labelled_sample``)."""
+    return train(*labelled_sample(docs, labels, label, doc_id, text, use, per_class, max_bytes), contexts(docs, text))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -186,7 +224,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def work(batches):
         index = index_vectors()
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=PIECE):
             scores = model.scores(*utf8(column(piece, "text")), index)
             yield pa.RecordBatch.from_arrays([column(piece, "row"), pa.array(scores)], names=["row", "score"])
 
