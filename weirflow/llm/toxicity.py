@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on toxic text and one on ordinary text. A window of words that is shorter when
-compressed with the toxic dictionary than with the ordinary one speaks for toxicity; a document's counts of windows whose
-difference reaches each of some thresholds are turned into a probability by a calibration on labelled documents.
+compressed with the toxic dictionary than with the ordinary one speaks for toxicity; a document's count and share of windows
+whose difference reaches each of some thresholds are turned into a probability by a calibration on labelled documents.
 
 A dictionary is raw content: words that set its class apart from the other (by the likelihood ratio of the documents that
 hold them), then a part common to both, the most frequent words, so that the two differ in nothing else. Copies and
@@ -26,7 +26,7 @@ from weirflow.llm.logistic import fit as fit_logistic
 from weirflow.llm.logistic import labelled_sample, sigmoid
 from weirflow.llm.texts import column, pieces
 
-LEVEL, WINDOW, STEP, THRESHOLDS, MOST = 6, 8, 4, (2, 3, 4, 5, 6), 6
+LEVEL, WINDOW, STEP, THRESHOLDS = 6, 8, 4, (2, 3, 4, 5, 6)
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,7 @@ class Model:
 
 
 def _evidence(text: bytes, model: Model, ordinary, toxic, known: dict[bytes, int]) -> np.ndarray:
-    """For each threshold the number of windows (``MOST`` at most) that reach it, and the logarithm of the number of windows."""
+    """For each threshold the logarithm of the number of windows that reach it and their share, and the logarithm of the number of words."""
     words = text.lower().split()
     counts = Counter()
     size = model.window
@@ -58,8 +58,8 @@ def _evidence(text: bytes, model: Model, ordinary, toxic, known: dict[bytes, int
             body = model.carrier + window + b" "
             gain = known[window] = len(ordinary.compress(body)) - len(toxic.compress(body))
         counts[gain] += 1
-    reach = [min(MOST, sum(n for gain, n in counts.items() if gain >= t)) for t in THRESHOLDS]
-    return np.array([*reach, np.log1p(len(words) / size)])
+    reach = np.array([sum(n for gain, n in counts.items() if gain >= t) for t in THRESHOLDS])
+    return np.array([*np.log1p(reach), *(10 * reach / counts.total()), np.log1p(len(words) / size)])
 
 
 def distinct(sample: list[tuple[bytes, int]], grams: int = 5, share: float = 0.3) -> list[tuple[bytes, int]]:
@@ -104,7 +104,7 @@ def train(sample: list[tuple[bytes, int]], totals: dict[int, int], common_words:
     if not all(size):
         share = (sum(size) and size[1] / sum(size)) or (0.0 if sum(size) else 0.5)
         logit = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
-        return Model(b" ", b" ", b"", (*[0.0] * (len(THRESHOLDS) + 1), logit))
+        return Model(b" ", b" ", b"", (*[0.0] * (2 * len(THRESHOLDS) + 1), logit))
     words = sorted(set(holding[0]) | set(holding[1]))
     counts = [np.array([h[w] for w in words], dtype=float) for h in holding]
     ratio = _ratio(counts[1], counts[0], size[1], size[0])
