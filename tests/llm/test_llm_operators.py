@@ -411,6 +411,44 @@ def test_compression_tells_the_classes_apart():
     assert len(toxic.compress(window)) < len(ordinary.compress(window))
 
 
+def test_windows_are_compressed_one_by_one():
+    rows, known = labelled(4, 120)
+    model = toxicity.train([(t.encode(), y) for (_, t), (_, _, y) in zip(rows, known)], {0: 90, 1: 30})
+    ordinary, toxic = model.compressors()
+    text = b" ".join([b"grumblehead an er"] * 40) + b"\nst en"
+    words = text.lower().split()
+    gains = []
+    for i in range(0, len(words) - model.window + toxicity.STEP, toxicity.STEP):
+        body = model.carrier + b" ".join(words[i : i + model.window]) + b" "
+        gains.append(len(ordinary.compress(body)) - len(toxic.compress(body)))
+    reach = [sum(g >= t for g in gains) for t in toxicity.THRESHOLDS]
+    assert max(reach) > 6
+    want = [*np.log1p(reach), *(10 * n / len(gains) for n in reach), np.log1p(len(words) / model.window)]
+    assert toxicity._evidence(text, model, ordinary, toxic, {}).tolist() == pytest.approx(want)
+
+
+def test_word_vectors_come_from_all_documents(spark):
+    rows = [(1, "An er st, en 12 unseen er"), (2, None), (3, ""), (4, "er"), (4, "er"), (5, "st en " * 9000), (None, "unseen")]
+    held = table(spark, rows)
+    index = quality.index_vectors()
+    want = np.zeros((quality.BUCKETS, quality.DIMENSIONS))
+    for _, text in rows:
+        data = (text or "").encode()
+        tokens = quality.Tokens(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]))
+        both = list(zip(tokens.token, tokens.shape))
+        for i, mine in enumerate(both):
+            for j in (i - 2, i - 1, i + 1, i + 2):
+                if 0 <= j < len(both):
+                    for bucket in mine:
+                        want[bucket] += index[both[j][0]] + index[both[j][1]]
+    assert np.array_equal(quality.contexts(held), want)
+    assert not quality.contexts(held.limit(0)).any()
+    labels = spark.createDataFrame([(4, 0), (5, 1)], "doc_id long, quality int")
+    data = np.frombuffer(b"unseen", dtype=np.uint8)
+    bucket = quality.Tokens(data, np.array([0, 6])).token[0]
+    assert quality.fit(held, labels, F.lit(True)).context[bucket].any()
+
+
 def vectors(n=600, size=16, seed=0):
     rng = np.random.default_rng(seed)
     centers = rng.normal(size=(12, size))
@@ -560,6 +598,27 @@ def test_masked_notices_and_weighed_shares(spark):
     assert got == pytest.approx(want) and want < 0.2
 
 
+def test_no_paragraph_like_a_template_is_left_out(spark):
+    words = [r.words for r in licences.templates(spark).collect()]
+    assert not any(a == b for ws in words for a, b in zip(ws, ws[1:]))
+    rng = random.Random(5)
+    said = sorted({w for ws in words for w in ws})
+    rows = []
+    for i in range(1500):
+        own = rng.choice(words)
+        at = rng.randrange(len(own))
+        mine = own[at : at + rng.randint(0, 4)] if rng.random() < 0.7 else rng.sample(said, rng.randint(0, 3))
+        filler = [rng.choice(["mill", "river", "old", rng.choice(said)]) for _ in range(rng.choice([0, 1, 2, 3, 8, 20]))]
+        rows.append((i, " ".join(filler[:2] + mine + filler[2:])))
+    held = table(spark, rows).select("doc_id", licences.words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
+    known = F.broadcast(licences.known_templates(spark).where("predicted = 'unknown'"))
+    told = held.withColumn("grams", licences.grams_of(F.col("words"))).crossJoin(known).withColumn("like", licences._largest(licences.similarity))
+    for least in (0.0, 0.1, 0.25, 0.5):
+        got = told.select("like", licences.may_be_alike(spark, F.col("words"), least).alias("kept")).collect()
+        assert all(r.kept for r in got if r.like >= least)
+        assert least == 0 or any(not r.kept for r in got)
+
+
 def test_licences(spark):
     rows, _ = labelled(5, 120)
     notices = [(900, "Released under the MIT License."), (901, "an er\nLicensed under the Apache License, Version 2.0.\nst"), (902, "This work is licensed under the GNU General Public License, version 3.")]
