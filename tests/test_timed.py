@@ -153,3 +153,10 @@ def test_live_counts_answer_from_the_state(spark, tmp_path):
         writer.trigger(availableNow=True).start().awaitTermination()
     asked = spark.createDataFrame([("a",), ("zzz",), ("c",), ("a",)], "word string")
     assert sorted(tuple(r) for r in timed.live_counts(asked, f"{folder}/cp", "word").collect()) == [("a", 3), ("c", 1)]
+
+
+def test_a_waiting_key_holds_one_timer(spark, tmp_path):
+    fed = Fed(spark, tmp_path, JOIN, join, by=["status"])
+    fed.add([(1, at(0), "a", "a1"), (2, at(10), "b", "b2")]).add([(2, at(20), "a", "a2")])
+    held = timed.state_of(spark, f"{tmp_path}/cp").select("value.due").collect()
+    assert [r.due for r in held] == [(at(100) - datetime(1970, 1, 1)) // timedelta(milliseconds=1)]

@@ -1,7 +1,7 @@
 """Keyed streaming state with event-time timers: stores whose keys expire, counts that are emitted while the stream runs, and
 joins that give up.
 
-The state is Spark's own, one entry for each key. A timer is the key's event-time timeout: when the watermark passes it the
+The state is Spark's own, one entry for each key. A key has one event-time timer: when the watermark passes it the
 key is called again, emits what is due and is dropped when nothing is left of it. What a key does depends on the times of its
 rows alone, not on how they fall into batches, as long as each is newer than the
 watermark, the newest time of the batches before less ``lag``; rows at it or behind it are dropped.
@@ -16,13 +16,15 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 from pyspark.sql.types import StructType
 
-#: What a key holds, as JSON: small, and free to change its form.
-HELD = "held string"
+#: What a key holds, as JSON: small, and free to change its form. Beside it the milliseconds of its timer.
+HELD = "held string, due long"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _folded(rows: DataFrame, fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -34,28 +36,50 @@ def _folded(rows: DataFrame, fold: Callable[[pd.DataFrame], pd.DataFrame], schem
     return rows.mapInPandas(work, schema)
 
 
-def _keyed(rows: DataFrame, key: str, lag: str, update: Callable, out: str) -> DataFrame:
-    """Apply ``update`` to each key; ``rows`` have the micros of their newest time in ``at``."""
-    timed = rows.withColumn("at_time", F.timestamp_micros("at")).withWatermark("at_time", lag)
+class _Keys(StatefulProcessor):
+    """What a key holds and the timer that calls it again, as one value of the key."""
+
+    def __init__(self, columns: Sequence[str], update: Callable, out: Sequence[str]):
+        self.columns, self.update, self.out = columns, update, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("state", HELD)
 
-    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else None
-        came = [] if state.hasTimedOut else [row for frame in frames for row in frame.to_dict("records")]
-        if group[0] is None or pd.isna(group[0]):
+    def _step(self, group: tuple, came: list[dict], watermark: int) -> Iterator[Row]:
+        """``watermark`` in milliseconds; a timer must lie ahead of it, and one that is due fires with the next batch."""
+        if group[0] is None:
             return
-        emitted, held, timer = update(held, came, state.getCurrentWatermarkMs() * 1000)
-        if held is None:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((json.dumps(held),))
-            # a timer must lie ahead of the watermark; one that is due fires with the next batch
-            state.setTimeoutTimestamp(max(timer // 1000, state.getCurrentWatermarkMs() + 1))
-        if emitted:
-            yield pd.DataFrame([(group[0], *row) for row in emitted], columns=names)
+        found = self.state.get()
+        emitted, held, timer = self.update(json.loads(found[0]) if found else None, came, watermark * 1000)
+        due = None if held is None else max(timer // 1000, watermark + 1)
+        if found and found[1] > watermark and found[1] != due:
+            self.handle.deleteTimer(found[1])  # one that is due has fired, or fires for nothing
+        if held is not None:
+            self.state.update((json.dumps(held), due))
+            if not found or found[1] != due:
+                self.handle.registerTimer(due)
+        elif found:
+            self.state.clear()
+        for row in emitted:
+            yield Row(*self.out)(group[0], *row)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        return self._step(key, [dict(zip(self.columns, row)) for row in rows], timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        return self._step(key, [], timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
 
-    names = StructType.fromDDL(out).names
-    return timed.groupBy(key).applyInPandasWithState(step, out, HELD, "append", GroupStateTimeout.EventTimeTimeout)
+
+def _keyed(rows: DataFrame, key: str, lag: str, update: Callable, out: str) -> DataFrame:
+    """Apply ``update`` to each key; ``rows`` have the micros of their newest time in ``at``."""
+    # state with timers of its own needs this store; a query keeps the one it was begun with
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timed = rows.withColumn("at_time", F.timestamp_micros("at")).withWatermark("at_time", lag)
+    schema = StructType.fromDDL(out)
+    return timed.groupBy(key).transformWithState(_Keys(timed.columns, update, schema.names), schema, "Append", "EventTime")
 
 
 def _micros(ts: str):
@@ -176,12 +200,16 @@ def expiring_join(stream: DataFrame, on: str, side: str, sides: Sequence[str], t
 
 def state_of(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
     """The entries that a query's state holds after its last finished batch: (partition_id, key, value)."""
-    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    kept = spark.read.format("state-metadata").load(checkpoint).where(F.col("operatorId") == operator)
+    reader = spark.read.format("statestore").option("operatorId", operator)
+    if kept.where(F.col("operatorName").startswith("transformWithState")).limit(1).count():
+        reader = reader.option("stateVarName", "state")
+    return reader.load(checkpoint)
 
 
 def held_values(state: DataFrame, key: str, schema: StructType) -> DataFrame:
     """What the state of an ``expiring_store`` holds, in the columns that it emits."""
-    fields = F.from_json(F.col("value.groupState.held"), "array<string>")
+    fields = F.from_json(F.col("value.held"), "array<string>")
     columns = []
     for i, field in enumerate(f for f in schema if f.name not in (key, "expired")):
         cell = F.get(fields, F.lit(i))
