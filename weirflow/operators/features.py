@@ -16,9 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.operators.windows import floor_div, from_micros, micros
+from weirflow.session import scratch_path
 
 DAY = 86_400_000_000
 LOOKBACK_DAYS = 3
+#: Followers' counts that each task may hold, a few dozen bytes each.
+BROADCAST_COUNTS = 500_000
 
 
 @dataclass(frozen=True)
@@ -80,11 +83,29 @@ def use_counts(uses: DataFrame, user: str, tag: str, ts: str, anchors: Anchors)
     )
 
 
-def follower_counts(counts: DataFrame, relations: DataFrame, user: str, follower: str, tag: str, value: str, name: str):
-    """Add up the followers' counts for each user, tag and anchor."""
-    theirs = counts.withColumnRenamed(user, follower)
-    rest = [c for c in counts.columns if c not in (user, value)]
-    return relations.join(theirs, follower).groupBy(user, *rest).agg(F.sum(value).alias(name))
+def follower_counts(
+    counts: DataFrame, relations: DataFrame, user: str, follower: str, tag: str, value: str, name: str, held: int = BROADCAST_COUNTS
+):
+    """Add up the followers' counts for each user, tag and anchor.
+
+    A user's counts of a tag travel as one row of lists. When all followers have ``held`` counts at most, these rows are sent to each
+    task and the relations, dealt by user, meet them where they are added up. Otherwise they are dealt by user and tag.
+    """
+    spark = relations.sparkSession
+    rest = [c for c in counts.columns if c not in (user, tag)]
+    theirs = counts.withColumnRenamed(user, follower).join(relations.select(follower).distinct(), follower, "left_semi")
+    lists = theirs.groupBy(follower, tag).agg(F.collect_list(F.struct(*rest)).alias("__hits"))
+    path = scratch_path(spark, "followers")
+    lists.select(follower, tag, *[F.col(f"__hits.{c}").alias(c) for c in rest]).write.parquet(path)
+    packed = spark.read.parquet(path)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = relations.select(user, follower)
+    if (packed.agg(F.sum(F.size(value))).first()[0] or 0) <= held:
+        met = pairs.repartition(tasks, user).join(F.broadcast(packed), follower)
+    else:
+        met = pairs.join(packed, follower).drop(follower).repartition(tasks, user, tag)
+    hits = met.select(user, tag, F.inline(F.arrays_zip(*rest)))
+    return hits.groupBy(user, *[c for c in counts.columns if c not in (user, value)]).agg(F.sum(value).alias(name))
 
 
 def known_users(relations: DataFrame, uses: DataFrame, profiles: DataFrame, user: str, follower: str):
