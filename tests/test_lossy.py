@@ -70,3 +70,12 @@ def test_exact_heavy_hitters(spark, rows):
 def test_width_must_be_positive(spark):
     with pytest.raises(ValueError):
         lossy.lossy_count(frame_of(spark, "a"), "tag", "n", 0)
+
+
+def test_blocks_of_any_size_give_the_same(spark):
+    rng = random.Random(5)
+    frame = frame_of(spark, "".join(rng.choice("aaabbcdefgh") for _ in range(300)))
+    want = sorted(tuple(r) for r in lossy.lossy_count(frame, "tag", "n", 7).collect())
+    for cuts in ("0", "n div 50", "CASE WHEN n < 3 THEN 0 WHEN n < 120 THEN 4 ELSE 9 END"):
+        found = lossy.lossy_count(frame.withColumn("part", F.expr(cuts)), "tag", "n", 7, block="part")
+        assert sorted(tuple(r) for r in found.collect()) == want

@@ -36,7 +36,7 @@ def lossy_estimates(df: DataFrame, key: str, index: str, width: int, block_bits:
 
 
 def lossy_count(
-    df: DataFrame, key: str, index: str, width: int, total: DataFrame | None = None, block_bits: int = 16
+    df: DataFrame, key: str, index: str, width: int, total: DataFrame | None = None, block_bits: int = 16, block: str | None = None
 ) -> DataFrame:
     """The keys still held after the last row: ``f`` (counted), ``delta`` (possible error), ``estimate``.
 
@@ -45,19 +45,24 @@ def lossy_count(
     each block of a key's rows is reduced to its count and its largest lift, and only those meet along the
     key. Rows of one bucket may be counted together first, since nothing is dropped inside a bucket.
     ``total`` is a one-row frame with the number of rows, if that is known more cheaply than by reading them.
+    ``block`` is a column that does not decrease along the index; rows dealt by it alone are reduced where they are.
     """
     if width < 1:
         raise ValueError("the bucket width must be at least 1")
     total = df.agg(F.max(index).alias("n")) if total is None else total
     rows = df.withColumn("bucket", F.expr(f"({index} - 1) div {width} + 1"))
-    along = "bucket"
-    blocked = rows.withColumn("__block", F.shiftright(F.col(index), block_bits))
-    counts = blocked.groupBy(key, "__block", along).agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.partitionBy(key, "__block").orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
-    lift = F.col("bucket") - 1 - F.coalesce(F.sum("__c").over(before), F.lit(0))
+    if block:
+        # a bucket's largest lift is that of its first row
+        at = Window.partitionBy(key, "__block").orderBy(index)
+        lifted = rows.select(key, F.col(block).alias("__block"), index, "bucket", F.lit(1).alias("__c"))
+        lifted = lifted.withColumn("__lift", F.col("bucket") - F.row_number().over(at))
+    else:
+        blocked = rows.withColumn("__block", F.shiftright(F.col(index), block_bits))
+        counts = blocked.groupBy(key, "__block", "bucket").agg(F.count(F.lit(1)).alias("__c"))
+        before = Window.partitionBy(key, "__block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        lifted = counts.withColumn("__lift", F.col("bucket") - 1 - F.coalesce(F.sum("__c").over(before), F.lit(0)))
     blocks = (
-        counts.withColumn("__lift", lift)
-        .groupBy(key, "__block")
+        lifted.groupBy(key, "__block")
         .agg(F.sum("__c").alias("__c"), F.max(F.struct("__lift", "bucket")).alias("__top"))
     )
     earlier = Window.partitionBy(key).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,6 +10,7 @@ from weirflow.operators import aggregates as agg
 from weirflow.operators import filters, lossy, windows
 from weirflow.operators.ordered import Fold, prefix
 from weirflow.plans.registry import Tables, query
+from weirflow.session import scratch_path
 
 WORDS = r"""words AS (
   SELECT doc_id, word FROM (
@@ -111,19 +112,28 @@ rated AS (SELECT word, n, (n - 1) // 100 + 1 AS b, row_number() OVER (PARTITION
 estimated AS (SELECT word, n, b, c, c + max(b - c) OVER (PARTITION BY word ORDER BY n) AS e FROM rated)"""
 
 
+#: Words of a block, as a power of two: many more than a text has, and few enough that there are blocks for all tasks.
+BLOCK_BITS = 19
+
+
 def _indexed_words(t: Tables):
     """All words in order of text and position, numbered from 1, and their number.
 
     Only the word counts of the texts are added up along the order; the words then get the opening number
-    of their text plus their position.
+    of their text plus their position. The texts are dealt by ``block``, which counts up along them, so that the words of
+    neighbouring texts lie in one task.
     """
     kept = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
     texts = t.documents.select("doc_id", "text")
-    sizes = texts.select("doc_id", F.size(kept).cast("long").alias("n_words"))
+    path = scratch_path(t.spark, "sizes")
+    texts.select("doc_id", F.size(kept).cast("long").alias("n_words")).write.parquet(path)  # read several times
+    sizes = t.spark.read.parquet(path)
     upto = prefix(sizes, ["doc_id"], {"upto": Fold("sum", F.col("n_words"))})
     opening = upto.select("doc_id", (F.col("upto") - F.col("n_words")).alias("opening"))
-    words = filters.positioned_words(texts.join(opening, "doc_id"), "text", ["opening"])
-    numbered = words.select("word", (F.col("opening") + F.col("pos")).alias("n"))
+    opened = texts.join(opening, "doc_id").select("text", "opening", F.shiftright("opening", BLOCK_BITS).alias("block"))
+    tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    words = filters.positioned_words(opened.repartition(tasks, "block"), "text", ["opening", "block"])
+    numbered = words.select("word", (F.col("opening") + F.col("pos")).alias("n"), "block")
     return numbered, sizes.agg(F.sum("n_words").alias("n"))
 
 
@@ -136,7 +146,7 @@ def _indexed_words(t: Tables):
 )
 def lossy_count(t):
     numbered, total = _indexed_words(t)
-    return lossy.lossy_count(numbered, "word", "n", 100, total)
+    return lossy.lossy_count(numbered, "word", "n", 100, total, block="block")
 
 
 @query(
