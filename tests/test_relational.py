@@ -258,3 +258,30 @@ def test_graph(spark, rows):
     assert graph.graph_json(vertices, edges).count() == 7
     with pytest.raises(ValueError):
         graph.neighbours(edges, "both")
+
+
+def test_followers_counts_meet_where_they_are_added_up(spark, rows):
+    rng = random.Random(8)
+    counts = [(u, tag, a, rng.randint(1, 5)) for u in range(6) for tag in "xy" for a in range(4) if rng.random() < 0.6]
+    relations = [(u, f) for u in range(9) for f in range(8) if rng.random() < 0.5] + [(None, 1), (1, None)]
+    want = {}
+    for u, f in relations:
+        for owner, tag, a, n in counts:
+            if owner == f:
+                want[u, tag, a] = want.get((u, tag, a), 0) + n
+    mine = spark.createDataFrame(counts, "user_id long, tag string, anchor_no long, n long")
+    follows = spark.createDataFrame(relations, "user_id long, follower long")
+    for held in (10**6, 0):
+        found = features.follower_counts(mine, follows, "user_id", "follower", "tag", "n", "total", held)
+        assert rows(found) == sorted(((*k, v) for k, v in want.items()), key=repr)
+        # the followers' counts travel as lists; nothing is shuffled for each single count
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(user_id" not in plan.split("Generate")[0]
+
+
+def test_python_split_works_on_bounded_runs(spark, rows, monkeypatch):
+    monkeypatch.setattr(udfs, "SPLIT_CHARS", 7)
+    texts = [(1, "a  bb c"), (2, None), (None, " x"), (3, ""), (4, "long " * 9), (4, "é\tz y ")]
+    frame = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    want = [(i, w) for i, t in texts for w in (t or "").split(" ") if w]
+    assert rows(udfs.python_split(frame, "text", ["id"])) == sorted(want, key=repr)

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
@@ -39,17 +42,34 @@ def register_table_function(spark: SparkSession, name: str = "split_words", func
     spark.udtf.register(name, function)
 
 
+#: Characters of text, about, whose words a Python worker holds at once.
+SPLIT_CHARS = 1 << 20
+
+
 def python_split(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Split sentences at blanks in Python, batch by batch."""
+    """Split sentences at blanks in Python, a bounded run of sentences at a time."""
+
+    def words(part: pa.RecordBatch) -> pa.RecordBatch:
+        lists = pc.split_pattern(part.column(text).cast(pa.large_string()), " ")
+        found = pc.list_flatten(lists).cast(pa.string())
+        rows = pc.list_parent_indices(lists)
+        given = pc.not_equal(found, "")
+        rows = rows.filter(given)
+        return pa.RecordBatch.from_arrays([*[part.column(c).take(rows) for c in keep], found.filter(given)], [*keep, "word"])
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = batch[list(keep)].assign(word=batch[text].fillna("").str.split(" ")).explode("word")
-            yield out[out["word"] != ""]
+            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            start = 0
+            while start < batch.num_rows:
+                # as many rows as fit, one at least
+                end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + SPLIT_CHARS, "right")))
+                yield words(batch.slice(start, end - start))
+                start = end
 
     source = df.select(*keep, text)
     kept = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
-    return source.mapInPandas(split, f"{kept}, word string" if kept else "word string")
+    return source.mapInArrow(split, f"{kept}, word string" if kept else "word string")
 
 
 def fold_in_order(
