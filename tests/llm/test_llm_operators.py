@@ -627,3 +627,51 @@ def test_licences(spark):
     found = {(r.doc_id, r.paragraph): r.family for r in licences.scan(docs, model).collect()}
     assert found == {(900, 0): "MIT", (901, 1): "Apache-2.0", (902, 0): "GPL"}
     assert licences.scan(table(spark, []), model).count() == 0
+
+
+def test_all_ordinary_paragraphs_train_or_calibrate(spark):
+    rng = random.Random(9)
+    said = sorted({w for ts in licences.TEMPLATES.values() for t in ts for w in re.split(r"[^\w.+-]+|\.(?!\w)", t.lower()) if w})
+    line = lambda: " ".join(rng.choice([rng.choice(said), f"w{rng.randrange(500)}"]) for _ in range(rng.randint(1, 30)))
+    rows = [(i, "\n".join(line() for _ in range(rng.randint(1, 12)))) for i in range(900)]
+    rows += rows[:200] + [(None, rows[0][1]), (5, None), (6, ""), (7, " \n,\n"), (8, rows[3][1].upper())]
+    words = lambda text: tuple(w for w in re.split(r"[^\w.+-]+|\.(?!\w)", text.lower()) if w)
+    want = {ws for _, text in rows for ws in map(words, (text or "").split("\n")) if ws and 2 * len(set(ws) & set(said)) < len(set(ws))}
+    assert len(want) > 2000
+    docs = table(spark, rows)
+    told = licences.ordinary(docs, "doc_id", "text", "\n")
+    n, learn, held = told.agg(F.count("*"), F.sum("learn"), F.sum("held")).first()
+    assert learn + held == len(want) and min(learn, held) > 0.4 * len(want) and n <= len(want)
+    assert told.count() == told.select("grams", "beside").distinct().count()
+
+
+def test_features_are_grams_of_template_words(spark):
+    texts = ["Licensed under the Boost licensed UNDER", "mill", "the", "", "the mill the river of the old", " ".join(["mill"] * 9 + ["of", "the"])]
+    said = set(licences.words_of_templates(spark))
+    held = table(spark, list(enumerate(texts))).select("doc_id", licences.words_of(F.col("text")).alias("words"))
+    got = held.select("words", licences.features_of(licences.codes_of(spark, F.col("words"))).alias("grams")).collect()
+    number = lambda *ws: spark.range(1).select(F.hash(*[F.hash(F.lit(w)) for w in ws]) if len(ws) > 1 else F.hash(F.lit(ws[0]))).first()[0]
+    for r in got:
+        ws = r.words
+        want = {number(w) for w in ws if w in said} | {number(a, b) for a, b in zip(ws, ws[1:]) if a in said and b in said}
+        others = sum(w not in said for w in ws)
+        assert r.grams == sorted(want | {1 + min(int(math.log2(others + 1)), 3)})
+
+
+def test_the_probability_is_calibrated_on_all_held_paragraphs(spark, monkeypatch):
+    # a paragraph in 40 has much of a notice; those of the first 400 texts alone don't tell how many
+    tricky = lambda i: f"see w{i} x{i} licensed under the y{i} z{i} license version q{i} r{i}"
+    rows = [(i, tricky(i) if i % 40 == 0 else f"the river {i} ran past the old mill and the children of town {i % 17} sat by it") for i in range(2400)]
+    docs = table(spark, rows)
+    given = []
+    probabilities = licences._probabilities
+    monkeypatch.setattr(licences, "_probabilities", lambda frame, learned: given.append((frame, learned)) or probabilities(frame, learned))
+    model = licences.fit(docs, variants=8, least=0.1)
+    monkeypatch.undo()
+    told = licences.ordinary(docs, "doc_id", "text", "\n").where("held > 0")
+    scored = licences._probabilities(told, model.learned).select((1 - F.col("p")[0]).alias("p"), "held").collect()
+    total = sum(r.held for r in scored)
+    assert len(given) == 1 and total > 1000
+    step = 1 / licences.STEPS
+    assert sum(r.held for r in scored if r.p <= model.least + 1e-9) >= 0.995 * total
+    assert model.least == 0.1 or sum(r.held for r in scored if r.p <= model.least - step - 1e-9) < 0.995 * total or model.least == 0.99

@@ -5,6 +5,10 @@ other, from unknown licences and from ordinary paragraphs by a sparse multinomia
 2-grams. Unknown licences are made from the notices of the families: every word that few families use becomes an invented one.
 The probability from which a paragraph counts as a licence is calibrated on ordinary paragraphs that the model was not trained on.
 
+All ordinary paragraphs of the table train or calibrate, each different one once. A 1-gram or 2-gram of words that no template
+holds says nothing about a licence, so such words only count by how many they are. Paragraphs then have few features, and those
+with the same ones are one row with its number of paragraphs.
+
 A predicted family is confirmed by comparison with its templates: by the share of what they have in common, and by that share
 weighed by how few families use a word or pair, so that "licensed under the ... license, version" alone confirms none. The least
 weighed share is calibrated on the varied and the unknown notices. A licence that is not confirmed is ``unknown``.
@@ -19,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Licence families and what their notices say.
@@ -76,6 +80,11 @@ TEMPLATES = {
 }
 NONE, UNKNOWN = "none", "unknown"
 FEATURES = 1 << 13
+#: Steps of the calibrated probability.
+STEPS = 10_000
+#: Ordinary paragraphs that notices stand beside, one of each range of hashes, and how many of their words.
+PLACES, BESIDE = 1000, 8
+TASK_ROWS = 200_000
 #: A word of more families than this belongs to the wording that all notices share.
 FEW = 3
 
@@ -132,20 +141,43 @@ def _largest(share) -> Column:
     return F.array_max(F.transform("known", lambda t: share(t, F.col("grams"))))
 
 
-def may_be_alike(spark: SparkSession, words: Column, least: float) -> Column:
+def words_of_templates(spark: SparkSession) -> list[str]:
+    return sorted({w for r in templates(spark).select("words").collect() for w in r.words})
+
+
+def codes_of(spark: SparkSession, words: Column) -> Column:
+    """The words as numbers: 0 for one that no template holds."""
+    said = words_of_templates(spark)
+    return F.transform(words, lambda w: F.when(w.isin(said), F.hash(w)).otherwise(F.lit(0)))
+
+
+def known_codes(codes: Column) -> Column:
+    return F.array_distinct(F.array_remove(codes, 0))
+
+
+def may_be_alike(spark: SparkSession, words: Column, least: float, codes: Column | None = None) -> Column:
     """False only if no template reaches a similarity of ``least``, so that nothing is lost.
 
     A paragraph without a word of the templates has no gram in common with them. With one such word it has that word alone in
-    common, since no template says a word twice in a row, and at least as many grams as it has different words.
+    common, since no template says a word twice in a row, and at least as many grams as it has different words. ``codes`` are
+    those of the words, if they are there.
     """
     if least <= 0:
         return F.lit(True)
-    said = [set(r.words) for r in templates(spark).select("words").collect()]
-    common = F.size(F.array_intersect(words, F.array(*map(F.lit, sorted(set().union(*said))))))
-    shorter = F.least(F.size(F.array_distinct(words)), F.lit(min(map(len, said))))
+    fewest = min(len(set(r.words)) for r in templates(spark).select("words").collect())
+    common = F.size(known_codes(codes_of(spark, words) if codes is None else codes))
+    shorter = F.least(F.size(F.array_distinct(words)), F.lit(fewest))
     return (common >= 2) | ((common == 1) & (shorter * least <= 1))
 
 
+def features_of(codes: Column) -> Column:
+    """Sorted numbers of the templates' words, of pairs of them side by side, and of how many other words there are (0, 1, 3, 7 or more)."""
+    pairs = F.zip_with(codes, F.slice(codes, 2, F.greatest(F.size(codes), F.lit(1))), lambda a, b: F.when((a != 0) & (b != 0), F.hash(a, b)).otherwise(F.lit(0)))
+    others = F.size(codes) - F.size(F.array_remove(codes, 0))
+    many = F.least(F.floor(F.log2(others + 1)), F.lit(3)).cast("int") + 1
+    return F.array_sort(F.array_distinct(F.array_remove(F.concat(codes, pairs, F.array(many)), 0)))
+
+
 def _hashing() -> HashingTF:
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features")
 
@@ -157,19 +189,25 @@ def paragraphs_of(docs: DataFrame, doc_id: str, text: str, split: str) -> DataFr
 
 
 def _probabilities(frame: DataFrame, learned: LogisticRegressionModel) -> DataFrame:
+    """``p``: the probabilities of the classes, for ``grams``."""
     return learned.transform(_hashing().transform(frame)).withColumn("p", vector_to_array("probability"))
 
 
-def _ordinary(docs: DataFrame, doc_id: str, text: str, split: str, documents: int, sample: int) -> DataFrame:
-    """(words, h) of at most ``sample`` distinct paragraphs of at most ``documents`` distinct texts, each in the order of a hash.
+def ordinary(docs: DataFrame, doc_id: str, text: str, split: str) -> DataFrame:
+    """(grams, beside, learn, held): the features of all ordinary paragraphs, their first words, and how many train and calibrate.
 
-    Hashes are chosen first, so that copies count once and only the chosen texts travel.
+    A paragraph is ordinary if less than half of its different words are in templates. Paragraphs of the same words count once,
+    wherever they stand; their hash says whether they train or calibrate.
     """
-    hashed = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
-    some = hashed.select("th").distinct().orderBy("th").limit(documents)
-    some = hashed.join(F.broadcast(some), "th").dropDuplicates(["th"])
-    plain = paragraphs_of(some, "doc_id", "text", split).select(words_of(F.col("text")).alias("words")).where(F.size("words") > 0).distinct()
-    return plain.withColumn("h", F.xxhash64("words")).orderBy("h").limit(sample)
+    spark = docs.sparkSession
+    # generators make words and codes once for all that asks for them
+    parts = paragraphs_of(docs, doc_id, text, split).select(F.explode(F.array(words_of(F.col("text")))).alias("words")).where(F.size("words") > 0)
+    parts = parts.select("words", F.explode(F.array(codes_of(spark, F.col("words")))).alias("codes"))
+    parts = parts.where(F.size(known_codes(F.col("codes"))) * 2 < F.size(F.array_distinct("words")))
+    beside = F.slice("codes", 1, BESIDE).alias("beside")
+    each = parts.select(F.xxhash64("words").alias("h"), F.hash("words").alias("h2"), features_of(F.col("codes")).alias("grams"), beside).distinct()
+    learn = F.pmod("h", F.lit(2)) == 0
+    return each.groupBy("grams", "beside").agg(F.count_if(learn).alias("learn"), F.count_if(~learn).alias("held"))
 
 
 def varied_notices(spark: SparkSession, variants: int) -> DataFrame:
@@ -198,36 +236,45 @@ def _least_own(spark: SparkSession, variants: int) -> float:
     return ((ends.a or 0.0) + ends.b) / 2
 
 
-def fit(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", split: str = "\n", sample: int = 4000, documents: int = 400, variants: int = 40, least: float = 0.8
-) -> Model:
-    """A model from the templates and at most ``sample`` ordinary paragraphs of at most ``documents`` distinct texts.
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", split: str = "\n", variants: int = 40, least: float = 0.8) -> Model:
+    """A model from the templates and all ordinary paragraphs.
 
     Paragraphs of which half of the words are in templates are left out. Every second one calibrates: the
-    probability to be reached is ``least``, or what 995 of 1000 of these stay below, if that is more (0.99 at most).
+    probability to be reached is ``least``, or what 995 of 1000 of these stay below, if that is more (0.99 at most). The others train;
+    if they are more than the notices, they weigh as much as these together. Tasks add up in any order, so probabilities of
+    two runs may differ by rounding.
     """
     spark = docs.sparkSession
     families = tuple([NONE, *TEMPLATES, UNKNOWN])
-    plain = _ordinary(docs, doc_id, text, split, documents, sample)
-    said = templates(spark).agg(F.array_distinct(F.flatten(F.collect_list("words"))).alias("all")).first()["all"]
-    alike = F.size(F.array_intersect(F.col("words"), F.array(*map(F.lit, said)))) / F.size(F.array_distinct("words"))
-    plain = plain.where(alike < 0.5).select("words", F.lit(0).alias("label"), "h").cache()
+    plain = ordinary(docs, doc_id, text, split).cache()
+    n, learns = plain.agg(F.count(F.lit(1)), F.coalesce(F.sum("learn"), F.lit(0))).first()
+    # each iteration of the learner is a job over them, of few tasks as long as the rows are few
+    dealt = plain.coalesce(max(spark.sparkContext.defaultParallelism, n // TASK_ROWS))
 
     place = F.create_map(*[x for i, f in enumerate(families) for x in (F.lit(f), F.lit(i))])
     varied = varied_notices(spark, variants).withColumn("h", F.xxhash64("family", "words", "variant"))
     # half of the notices stand beside an ordinary paragraph's words
-    beside = plain.select(F.slice("words", 1, 8).alias("more"), (F.row_number().over(Window.orderBy("h")) - 1).alias("n"))
-    n = plain.count()
-    varied = varied.withColumn("n", F.pmod("h", F.lit(max(n, 1)))).join(F.broadcast(beside), "n", "left")
-    more = F.when(F.col("variant") % 2 == 1, F.coalesce("more", F.array())).otherwise(F.array().cast("array<string>"))
-    varied = varied.select(F.concat("words", more).alias("words"), place[F.col("family")].alias("label"))
-    training = varied.unionByName(plain.where(F.pmod("h", F.lit(2)) == 0).select("words", "label")).coalesce(1)
-    training = _hashing().transform(training.select(grams_of(F.col("words")).alias("grams"), F.col("label").cast("double").alias("label"))).select("features", "label")
-    learner = LogisticRegression(family="multinomial", regParam=2e-3, elasticNetParam=0.5, maxIter=60, standardization=False)
+    places = max(1, min(PLACES, n // 8))
+    picked = F.xxhash64("grams", "beside")
+    beside = plain.groupBy(F.pmod(picked, F.lit(places)).alias("n")).agg(F.min(F.struct(picked.alias("h"), "beside"))["beside"].alias("more"))
+    varied = varied.withColumn("n", F.pmod("h", F.lit(places))).join(F.broadcast(beside), "n", "left")
+    more = F.when(F.col("variant") % 2 == 1, F.coalesce("more", F.array().cast("array<int>"))).otherwise(F.array().cast("array<int>"))
+    codes = F.concat(codes_of(spark, F.col("words")), more)
+    varied = varied.select(features_of(codes).alias("grams"), place[F.col("family")].alias("label"), F.lit(1.0).alias("weight")).coalesce(1).cache()
+    weight = F.col("learn") * min(1.0, varied.count() / max(learns, 1))
+    training = varied.unionByName(dealt.where("learn > 0").select("grams", F.lit(0).alias("label"), weight.alias("weight")))
+    training = _hashing().transform(training.withColumn("label", F.col("label").cast("double"))).select("features", "label", "weight")
+    learner = LogisticRegression(family="multinomial", regParam=2e-3, elasticNetParam=0.5, maxIter=60, standardization=False, weightCol="weight")
     learned = learner.fit(training)
-    held = _probabilities(plain.where(F.pmod("h", F.lit(2)) == 1).select(grams_of(F.col("words")).alias("grams")), learned)
-    reached = held.agg(F.percentile(1 - F.col("p")[0], F.lit(0.995))).first()[0] or 0.0
+    varied.unpersist()
+
+    step = F.greatest(F.ceil((1 - F.col("p")[0]) * STEPS), F.lit(0))
+    held = _probabilities(plain.where("held > 0"), learned).groupBy(step.alias("step")).agg(F.sum("held").alias("n")).orderBy("step").collect()
     plain.unpersist()
+    below, total, reached = 0, sum(r.n for r in held), 0.0
+    for r in held:
+        if below < 0.995 * total:
+            below, reached = below + r.n, r.step / STEPS
     return Model(learned, families, min(max(least, reached), 0.99), _least_own(spark, variants))
 
 
@@ -243,14 +290,15 @@ def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
     scanned each for itself, so repeated rows give repeated results; a null doc_id stays null. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    # generators make words and grams once for all that asks for them
+    # generators make words and codes once for all that asks for them
     parts = paragraphs_of(docs, doc_id, text, split).select("doc_id", "paragraph", "text", F.explode(F.array(words_of(F.col("text")))).alias("words"))
-    parts = parts.where(may_be_alike(spark, F.col("words"), alike / 2))
-    parts = parts.select("doc_id", "paragraph", "text", F.explode(F.array(grams_of(F.col("words")))).alias("grams"))
+    parts = parts.select("doc_id", "paragraph", "text", "words", F.explode(F.array(codes_of(spark, F.col("words")))).alias("codes"))
+    parts = parts.where(may_be_alike(spark, F.col("words"), alike / 2, F.col("codes")))
+    parts = parts.select("doc_id", "paragraph", "text", features_of(F.col("codes")).alias("grams"))
     scored = _probabilities(parts, model.learned).where(1 - F.col("p")[0] >= model.least)
     each = F.slice("p", 2, len(model.families) - 1)
     predicted = F.element_at(F.array(*map(F.lit, model.families[1:])), F.array_position(each, F.array_max(each)).cast("int"))
-    scored = scored.select("doc_id", "paragraph", F.col("text").alias("notice"), "grams", predicted.alias("predicted"), (1 - F.col("p")[0]).alias("probability"))
+    scored = scored.select("doc_id", "paragraph", F.col("text").alias("notice"), grams_of(words_of(F.col("text"))).alias("grams"), predicted.alias("predicted"), (1 - F.col("p")[0]).alias("probability"))
     compared = scored.join(F.broadcast(known_templates(spark)), "predicted")
     compared = compared.withColumns({"similarity": _largest(similarity), "own_similarity": _largest(own_similarity)})
     confirmed = (F.col("similarity") >= alike) & (F.col("own_similarity") >= model.least_own)
