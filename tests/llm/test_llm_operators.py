@@ -550,6 +550,44 @@ def test_equal_vectors_tie_by_id(spark):
     assert neighbours.nearest(held.limit(0), held, 3).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_a_vector_is_moved_once_and_not_for_each_table(spark, tmp_path, monkeypatch, kind):
+    monkeypatch.setattr(neighbours, "scratch_path", lambda _, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    v = np.random.default_rng(5).normal(size=(3000, 32)).astype(np.float32)
+    held = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], f"vec_id long, embedding array<{kind}>")
+    assert neighbours.nearest(held, held.where("vec_id % 20 = 0"), 5).count() == 750
+    written = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert written < 2 * v.size * (4 if kind == "float" else 8)
+
+
+@pytest.mark.parametrize("few", [0, 1])
+@pytest.mark.parametrize("probes", [1, 16, None])
+def test_a_block_finds_the_best_that_share_a_cell(monkeypatch, few, probes):
+    monkeypatch.setattr(neighbours, "FEW", few)
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(5000, 8)) * rng.choice([1e-25, 0.3, 1.0], size=(5000, 1))
+    v[4000:4040] = v[17] * (1 + np.arange(40)[:, None] * 2.0**-50)
+    ids = rng.integers(0, 4500, 5000)
+    own, query = v[:60].copy(), ids[:60].copy()
+    tables = probes and neighbours.Tables(float(np.linalg.norm(v, axis=1).max()), 8, width=1.4, probes=probes)
+    block = neighbours.Block(ids, v, tables, 20)
+    row, vec, score = block.search(query, own)
+    scores = np.zeros((60, 5000))
+    for a, b in zip(own.T, v.T):
+        scores += a[:, None] * b
+    shares = np.ones((60, 5000), dtype=bool)
+    if probes:
+        probed, held = tables.probe_keys(own), tables.keys(v)
+        shares = np.array([(held[:, :, None] == p).any(axis=(1, 2)) for p in probed])
+        assert 0 < shares.mean() < 1
+    for q in range(60):
+        best = {}
+        for j in np.flatnonzero(shares[q] & (ids != query[q])):
+            best[ids[j]] = max(best.get(ids[j], -np.inf), scores[q, j])
+        want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:20]
+        assert list(zip(vec[row == q].tolist(), score[row == q].tolist())) == want
+
+
 def test_unlisted_licences_are_unknown(spark):
     plain = [(i, f"the river {i} ran past the old mill and the children of town {i % 17} sat by it") for i in range(200)]
     unlisted = [
