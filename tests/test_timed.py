@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from weirflow.streaming import jobs, timed
 from weirflow.streaming.sources import table_stream
@@ -160,3 +161,82 @@ def test_a_waiting_key_holds_one_timer(spark, tmp_path):
     fed.add([(1, at(0), "a", "a1"), (2, at(10), "b", "b2")]).add([(2, at(20), "a", "a2")])
     held = timed.state_of(spark, f"{tmp_path}/cp").select("value.due").collect()
     assert [r.due for r in held] == [(at(100) - datetime(1970, 1, 1)) // timedelta(milliseconds=1)]
+
+
+def test_a_join_holds_its_keys_in_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(timed, "BUCKETS", 4)
+    fed = Fed(spark, tmp_path, JOIN, join, by=["status"])
+    fed.add([(i, at(i % 50), "a", str(i)) for i in range(300)])
+    entries = spark.read.format("statestore").option("stateVarName", "state").load(f"{tmp_path}/cp")
+    assert entries.count() == 4
+    assert fed.keys() == list(range(300))
+    held = {r.key.on: (r.value.held, r.value.due) for r in timed.state_of(spark, f"{tmp_path}/cp").collect()}
+    micros = (at(49) - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    assert held[49] == (f'[[{micros}, "a", "49"]]', micros // 1000 + 100_000)
+    # keys whose time is up leave alone, the others of their bucket stay
+    fed.add([(i, at(120), "b", "b") for i in range(30, 300, 50)])
+    assert fed.keys() == sorted([i for i in range(300) if i % 50 > 20 and i % 50 != 30])
+    assert fed.out().where("status = 'expired'").count() == 21 * 6
+    assert fed.out().where("status = 'joined'").count() == 6
+
+
+def one_by_one(batches, sides, span):
+    """The rule of a join, row by row."""
+    held, out = {}, []
+    for came, watermark in batches:
+        keys = defaultdict(list)
+        for row in came:
+            keys[row[0]].append(row[1:])
+        for on in {*keys, *held}:
+            now = held.pop(on, [])
+
+            def leave(status):
+                found = {s: v for _, s, v in now}
+                out.append((on, status, now[0][0], *[found.get(s) for s in sides]))
+
+            for row in sorted(keys[on], key=lambda r: r[:2]):
+                if now and row[0] >= now[0][0] + span:
+                    leave("expired")
+                    now = []
+                if row[1] in [s for _, s, _ in now]:
+                    raise ValueError(f"a second row of {row[1]} for {on}")
+                now = [*now, row]
+                if len(now) == len(sides):
+                    leave("joined")
+                    now = []
+            if now and now[0][0] + span <= watermark:
+                leave("expired")
+            elif now:
+                held[on] = now
+    return out, held
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_bucket_follows_the_rule_of_each_key(seed):
+    rng = random.Random(seed)
+    sides, span = ["c", "a", "b"][: 1 + seed % 3], 50
+    batches, time = [], 0
+    for _ in range(5):
+        rows = [(i, time + rng.randint(0, 30), rng.choice(sides), rng.choice([None, "x", "y"])) for i in rng.sample(range(40), 25)]
+        # one key with many lives
+        rows += [(99, time + 60 * j + 5 * k, s, f"{j}") for j in range(30) for k, s in enumerate(rng.sample(sides, rng.randint(1, len(sides))))]
+        time += 60 * 30
+        batches.append((rows, time - 45 if seed % 2 else time - 60 * 30 + 10))
+    waiting = timed._Waiting(LongType())
+    held, out = waiting.schema.empty_table(), []
+    for rows, watermark in batches:
+        came = list(waiting.came(iter(rows)))
+        left, held, due, on = waiting.update(held, came, sides, span, watermark)
+        out += [tuple(r.values()) for r in left.to_pylist()]
+        if held.num_rows:
+            first = {}
+            for r in held.to_pylist():
+                first.setdefault(r["on"], r["at"])
+            assert (due, first[on]) == (min(first.values()) + span, min(first.values()))
+    want, rest = one_by_one(batches, sides, span)
+    assert sorted(out, key=repr) == sorted(want, key=repr)
+    assert [tuple(r.values()) for r in held.to_pylist()] == [(on, *row) for on in dict.fromkeys(held["on"].to_pylist()) for row in rest.pop(on)]
+    assert not rest
+    if len(sides) > 1:
+        with pytest.raises(ValueError, match="a second row of a for 7"):
+            waiting.update(held, list(waiting.came(iter([(7, 10**6, "a", None), (7, 10**6 + 1, "a", None)]))), sides, span, 0)

@@ -1,8 +1,8 @@
 """Keyed streaming state with event-time timers: stores whose keys expire, counts that are emitted while the stream runs, and
 joins that give up.
 
-The state is Spark's own, one entry for each key. A key has one event-time timer: when the watermark passes it the
-key is called again, emits what is due and is dropped when nothing is left of it. What a key does depends on the times of its
+The state is Spark's own, one entry for each key, or in joins for each bucket of keys (``_Buckets``). A key has one event-time timer:
+when the watermark passes it the key is called again, emits what is due and is dropped when nothing is left of it. What a key does depends on the times of its
 rows alone, not on how they fall into batches, as long as each is newer than the
 watermark, the newest time of the batches before less ``lag``; rows at it or behind it are dropped.
 
@@ -14,16 +14,24 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StructType
 
 #: What a key holds, as JSON: small, and free to change its form. Beside it the milliseconds of its timer.
 HELD = "held string, due long"
+#: Keys that are held together. A query keeps the number it was begun with.
+BUCKETS = 1024
+ROWS_AT_ONCE = 50_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -73,13 +81,183 @@ class _Keys(StatefulProcessor):
         pass
 
 
+class _Waiting:
+    """Rows that wait for those of other sides: all of a bucket, key by key in their order of coming."""
+
+    def __init__(self, kind: DataType):
+        self.schema = pa.schema([("on", to_arrow_type(kind)), ("at", pa.int64()), ("side", pa.string()), ("value", pa.string())])
+
+    def came(self, rows: Iterator[Row]) -> Iterator[pa.Table]:
+        """Rows whose first columns are those of the schema."""
+        while part := list(islice(rows, ROWS_AT_ONCE)):
+            yield pa.table([pa.array(column, field.type) for column, field in zip(zip(*part), self.schema)], schema=self.schema)
+
+    def packed(self, table: pa.Table) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table, ROWS_AT_ONCE)
+        return sink.getvalue().to_pybytes()
+
+    def update(self, held: pa.Table, came: list[pa.Table], sides: Sequence[str], span: int, watermark: int) -> tuple[pa.Table, pa.Table, int | None, object]:
+        """What leaves, what waits, and when which of its keys has to be called again; ``watermark`` in micros."""
+        rows = pa.concat_tables([held, *came]).combine_chunks()
+        if rows["at"].null_count:
+            raise ValueError("a row without a time")
+        at, side = rows["at"].to_numpy(), _ranked(rows["side"])
+        key = rows["on"].combine_chunks().dictionary_encode().indices.to_numpy()
+        new = np.arange(len(key)) >= len(held)
+        order = np.lexsort((np.where(new, side, 0), np.where(new, at, np.arange(len(key))), new, key))
+        rows, at, side, key = rows.take(pa.array(order)), at[order], side[order], key[order]
+        start, size = _lives(key, at, side, len(sides), span, lambda row: f"a second row of {rows['side'][row]} for {rows['on'][row]}")
+        joined = size == len(sides)
+        last = np.append(key[1:] != key[:-1], True)[start + size - 1]
+        waits = ~joined & last & (at[start] + span > watermark)
+        leaves = ~waits
+        first = start[leaves]
+        columns = [rows["on"].take(pa.array(first)), pa.array(np.where(joined[leaves], "joined", "expired")), pa.array(at[first])]
+        for name in sides:
+            where = np.full(len(first), -1)
+            is_side = np.append(pc.fill_null(pc.equal(rows["side"], name), False).to_numpy(), False)
+            for k in range(len(sides)):
+                found = (size[leaves] > k) & is_side[np.minimum(first + k, len(key))]
+                where[found] = first[found] + k
+            columns.append(rows["value"].take(pa.array(where, mask=where < 0)))
+        out = pa.table(columns, names=["on", "status", "first_ts", *sides])
+        kept = np.repeat(start[waits], size[waits]) + np.arange(int(size[waits].sum())) - np.repeat(np.cumsum(size[waits]) - size[waits], size[waits])
+        if not len(kept):
+            return out, rows.slice(0, 0), None, None
+        soonest = start[waits][np.argmin(at[start[waits]])]
+        return out, rows.take(pa.array(kept)), int(at[soonest]) + span, rows["on"][int(soonest)].as_py()
+
+
+def _ranked(values: pa.ChunkedArray) -> np.ndarray:
+    """The rank of each text among all that there are; null comes first."""
+    found = values.combine_chunks().dictionary_encode(null_encoding="encode")
+    names = found.dictionary.to_pylist()
+    rank = np.zeros(len(names), dtype=np.int64)
+    rank[sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i]))] = np.arange(len(names))
+    return rank[found.indices.to_numpy()]
+
+
+def _lives(key: np.ndarray, at: np.ndarray, side: np.ndarray, sides: int, span: int, error: Callable[[int], str]) -> tuple[np.ndarray, np.ndarray]:
+    """The first row and the number of rows of each life of a key, in order; rows come sorted by key and by their order in it.
+
+    A life takes the rows before its first row's time plus ``span``, at most one of each side; the next row opens another.
+    """
+    end = np.searchsorted(key, key, side="right")
+    lives = [(np.zeros(0, dtype=np.int64),) * 2]
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    while len(start):
+        size, open_ = np.ones(len(start), dtype=np.int64), np.arange(len(start))
+        for k in range(1, sides):
+            open_ = open_[start[open_] + k < end[start[open_]]]
+            open_ = open_[at[start[open_] + k] < at[start[open_]] + span]
+            for j in range(k):
+                twice = np.flatnonzero(side[start[open_] + k] == side[start[open_] + j])
+                if len(twice):
+                    raise ValueError(error(int(start[open_[twice[0]]] + k)))
+            size[open_] += 1
+        lives.append((start, size))
+        start = (start + size)[start + size < end[start]]
+        if 0 < len(start) < 16:
+            lives.append(_lives_one_by_one(start, end, at, side, sides, span, error))
+            break
+    start, size = (np.concatenate(x) for x in zip(*lives))
+    order = np.argsort(start)
+    return start[order], size[order]
+
+
+def _lives_one_by_one(start: np.ndarray, end: np.ndarray, at: np.ndarray, side: np.ndarray, sides: int, span: int, error: Callable[[int], str]) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_lives`` gives from these rows on, for a few keys that may have very many lives."""
+    found = []
+    for row, stop in zip(start.tolist(), end[start].tolist()):
+        times, names, begun = at[row:stop].tolist(), side[row:stop].tolist(), 0
+        for i in range(1, len(times) + 1):
+            if i == len(times) or times[i] >= times[begun] + span or i - begun == sides:
+                found.append((row + begun, i - begun))
+                begun = i
+            elif names[i] in names[begun:i]:
+                raise ValueError(error(row + i))
+    return tuple(np.array(x, dtype=np.int64) for x in zip(*found))
+
+
+class _Buckets(StatefulProcessor):
+    """What the keys of a bucket hold as one packed table, and a timer for the one whose time is up first.
+
+    A key alone would cost calls to the state, the timers and Python; here they are shared, and columns are worked on as a whole.
+    """
+
+    def __init__(self, kind: DataType, sides: Sequence[str], span: int):
+        self.waiting, self.sides, self.span = _Waiting(kind), sides, span
+        self.schema = StructType().add("packed", "binary").add("due", "long").add("on", kind)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("state", self.schema)
+
+    def _step(self, group: tuple, rows: Iterator[Row], watermark: int) -> Iterator[Row]:
+        if group[0] is None:
+            return
+        found = self.state.get()
+        held = pa.ipc.open_stream(bytes(found[0])).read_all() if found else self.waiting.schema.empty_table()
+        out, held, timer, on = self.waiting.update(held, list(self.waiting.came(rows)), self.sides, self.span, watermark * 1000)
+        due = None if timer is None else max(timer // 1000, watermark + 1)
+        if found and found[1] > watermark and found[1] != due:
+            self.handle.deleteTimer(found[1])  # one that is due has fired, or fires for nothing
+        if due is not None:
+            self.state.update((self.waiting.packed(held), due, on))
+            if not found or found[1] != due:
+                self.handle.registerTimer(due)
+        elif found:
+            self.state.clear()
+        for start in range(0, len(out), ROWS_AT_ONCE):
+            yield Row("packed")(self.waiting.packed(out.slice(start, ROWS_AT_ONCE)))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        return self._step(key, rows, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        return self._step(key, iter(()), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for packed in batch.column(0):
+            yield from pa.ipc.open_stream(packed.as_buffer())
+
+
+def _unpacked_state(held: DataFrame) -> DataFrame:
+    """The state of an ``expiring_join`` as it would be with one entry for each key."""
+    kind = held.schema["value"].dataType["on"].dataType
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for partition, packed, due, soonest in zip(*(c.to_pylist() for c in batch.columns)):
+                found: dict = {}
+                for row in pa.ipc.open_stream(packed).read_all().to_pylist():
+                    found.setdefault(row["on"], []).append([row["at"], row["side"], row["value"]])
+                span = due * 1000 - found[soonest][0][0]
+                rows = [{"partition_id": partition, "on": on, "held": json.dumps(rows), "due": (rows[0][0] + span) // 1000} for on, rows in found.items()]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([("partition_id", pa.int32()), ("on", to_arrow_type(kind)), ("held", pa.string()), ("due", pa.int64())]))
+
+    schema = StructType().add("partition_id", "integer").add("on", kind).add("held", "string").add("due", "long")
+    plain = held.select("partition_id", "value.packed", "value.due", "value.on").mapInArrow(keys, schema)
+    return plain.select("partition_id", F.struct("on").alias("key"), F.struct("held", "due").alias("value"))
+
+
 def _keyed(rows: DataFrame, key: str, lag: str, update: Callable, out: str) -> DataFrame:
     """Apply ``update`` to each key; ``rows`` have the micros of their newest time in ``at``."""
+    schema = StructType.fromDDL(out)
+    return _processed(rows, key, lag, lambda columns: _Keys(columns, update, schema.names), schema)
+
+
+def _processed(rows: DataFrame, key: str, lag: str, processor: Callable[[Sequence[str]], StatefulProcessor], out: StructType) -> DataFrame:
     # state with timers of its own needs this store; a query keeps the one it was begun with
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     timed = rows.withColumn("at_time", F.timestamp_micros("at")).withWatermark("at_time", lag)
-    schema = StructType.fromDDL(out)
-    return timed.groupBy(key).transformWithState(_Keys(timed.columns, update, schema.names), schema, "Append", "EventTime")
+    return timed.groupBy(key).transformWithState(processor(timed.columns), out, "Append", "EventTime")
 
 
 def _micros(ts: str):
@@ -168,34 +346,15 @@ def expiring_join(stream: DataFrame, on: str, side: str, sides: Sequence[str], t
     ``joined``; one whose time is up as ``expired``, with null for the sides that did not come. Then its state is dropped, and a
     later row opens it anew. (on, status, first_ts, one column for each side.) A second row of a side is an error.
     """
-    span = timeout * 1_000_000
-
-    def update(held, came, watermark):
-        emitted = []
-
-        def leave(status):
-            found = {s: v for _, s, v in held}
-            emitted.append((status, held[0][0], *[found.get(s) for s in sides]))
-
-        for row in sorted(came, key=lambda r: (r["at"], r["side"])):
-            if held and row["at"] >= held[0][0] + span:
-                leave("expired")
-                held = None
-            if held and any(s == row["side"] for _, s, _ in held):
-                raise ValueError(f"a second row of {row['side']} for {row['on']}")
-            held = [*(held or []), [row["at"], row["side"], row["value"]]]
-            if len(held) == len(sides):
-                leave("joined")
-                held = None
-        if held and held[0][0] + span <= watermark:
-            leave("expired")
-            held = None
-        return emitted, held, held and held[0][0] + span
-
-    kind = stream.schema[on].dataType.simpleString()
-    rows = stream.select(F.col(on).alias("on"), _micros(ts).alias("at"), F.col(side).alias("side"), F.col(value).cast("string").alias("value"))
-    out = f"on {kind}, status string, first_ts long, " + ", ".join(f"`{s}` string" for s in sides)
-    return _times(_keyed(rows, "on", lag, update, out), "first_ts").withColumnRenamed("on", on)
+    kind = stream.schema[on].dataType
+    bucket = F.when(F.col(on).isNotNull(), F.pmod(F.xxhash64(on), F.lit(BUCKETS)).cast("int"))
+    rows = stream.select(F.col(on).alias("on"), _micros(ts).alias("at"), F.col(side).alias("side"), F.col(value).cast("string").alias("value"), bucket.alias("bucket"))
+    work = _Buckets(kind, list(sides), timeout * 1_000_000)
+    left = _processed(rows, "bucket", lag, lambda _: work, StructType().add("packed", "binary"))
+    out = StructType().add("on", kind).add("status", "string").add("first_ts", "long")
+    for s in sides:
+        out = out.add(s, "string")
+    return _times(left.mapInArrow(_unpacked, out), "first_ts").withColumnRenamed("on", on)
 
 
 def state_of(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
@@ -204,7 +363,8 @@ def state_of(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFra
     reader = spark.read.format("statestore").option("operatorId", operator)
     if kept.where(F.col("operatorName").startswith("transformWithState")).limit(1).count():
         reader = reader.option("stateVarName", "state")
-    return reader.load(checkpoint)
+    held = reader.load(checkpoint)
+    return _unpacked_state(held) if "packed" in held.schema["value"].dataType.names else held
 
 
 def held_values(state: DataFrame, key: str, schema: StructType) -> DataFrame:
