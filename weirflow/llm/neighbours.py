@@ -310,11 +310,11 @@ def _search(tables: Tables | None, most: int, exponent: int):
                 narrow = held.astype(np.float32)
                 vectors.append(narrow if (narrow == held).all() else held)
                 ids.append(column(batch, "id").to_numpy()[:first])
-            if first == batch.num_rows or not (block or ids):
+            if first == batch.num_rows or block is None and not ids:
                 continue
             if block is None:
-                block = Block(np.concatenate(ids), np.concatenate(vectors), tables, most)
-                ids, vectors = [], []
+                ids, held, vectors = np.concatenate(ids), np.concatenate(vectors), []
+                block, held = Block(ids, held, tables, most), None
             rest = batch.slice(first)
             found = []
             for start in range(0, rest.num_rows, AT_ONCE):
