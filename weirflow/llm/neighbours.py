@@ -164,6 +164,15 @@ def _products(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, at_onc
     return out
 
 
+def _set_flags(flags: np.ndarray) -> np.ndarray:
+    """Where flags are set, if few are: eight are looked at together."""
+    if len(flags) % 8:
+        return np.flatnonzero(flags)
+    eight = np.flatnonzero(flags.view(np.uint64) != 0)
+    row, place = np.nonzero(flags.reshape(-1, 8)[eight])
+    return eight[row] * 8 + place
+
+
 class Block:
     """The vectors that a task holds, longest first, and their buckets in each table; without tables, a query meets all of them."""
 
@@ -245,7 +254,7 @@ class Block:
                     border[fresh] = np.partition(part, last, axis=1)[:, last] - slack
                 scores[fresh] = part
             low = np.maximum(border - slack, np.finfo(np.float32).min).astype(np.float32)
-            row, at = np.divmod(np.flatnonzero(np.greater_equal(scores, low[:, None], out=over)), end - start)
+            row, at = np.divmod(_set_flags(np.greater_equal(scores, low[:, None], out=over).ravel()), end - start)
             score = scores[row, at].astype(float)
             row, at, score = self._sharing(met, row, at + start, score)
             other = self.ids[at] != query[row]
